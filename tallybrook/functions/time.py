@@ -29,8 +29,13 @@ def epoch_hour(seconds: Column) -> Column:
 
 
 def to_epoch(ts: Column) -> Column:
-    """UTC ``timestamp_ntz`` back to epoch seconds."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), ts)
+    """UTC ``timestamp_ntz`` back to whole epoch seconds.
+
+    Built from date and clock parts, which read the value as it stands; ``timestamp_diff`` would
+    first move it through the session zone and lose hours in daylight-saving gaps.
+    """
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * SECONDS_PER_HOUR + F.minute(ts) * 60 + F.second(ts)
 
 
 def hours_between(start: Column, end: Column) -> Column:

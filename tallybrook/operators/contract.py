@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook import fixed_values as fv
+from tallybrook.operators.once import with_columns_once
 from tallybrook.schemas import CONTRACT, RECORD_COLUMNS, Field
 
 ENCODE, PUBLISH, NORMALIZE, MANUAL = "encode", "publish", "normalize", "manual"
@@ -37,11 +38,11 @@ def check_contract(
         if field.int32:
             outside = ~F.col(field.name).between(fv.INT32_MIN, fv.INT32_MAX)
             checks.append((F.coalesce(outside, F.lit(False)), f"{field.name}:out_of_range"))
-    earlier = [F.col(c) for c in found_earlier if c in df.columns]
+    earlier = [F.coalesce(F.col(c), F.expr(_NO_ISSUES)) for c in found_earlier if c in df.columns]
     violations = issue_list(checks)
     if earlier:
         violations = F.array_distinct(F.concat(*earlier, violations))
-    return df.withColumn("violations", violations)
+    return with_columns_once(df, {"violations": violations})
 
 
 def is_valid() -> Column:
@@ -80,7 +81,8 @@ def failure_stage(df: DataFrame) -> Column:
     """Stage of a rejected row: injected, not normalisable, or not encodable."""
     stage = F.lit(ENCODE)
     if "normalize_issues" in df.columns:
-        stage = F.when(F.size("normalize_issues") > 0, NORMALIZE).otherwise(stage)
+        found = F.col("normalize_issues").isNotNull() & (F.size("normalize_issues") > 0)
+        stage = F.when(found, NORMALIZE).otherwise(stage)
     if "injected" in df.columns:
         stage = F.when(F.coalesce(F.col("injected"), F.lit(False)), MANUAL).otherwise(stage)
     return stage

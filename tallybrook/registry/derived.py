@@ -121,7 +121,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = (
         F.when(_every(13), "")
         .when(_every(19), "*bad")
-        .otherwise(F.base64(payload.cast("binary")))
+        .otherwise(F.replace(F.base64(payload.cast("binary")), F.lit("\r\n"), F.lit("")))
     )
     message = F.struct(
         data.alias("data"), _null_when(_every(23), F.col("event_id").cast("string")).alias("messageId")

@@ -122,10 +122,29 @@ records AS (
     concat_ws('; ',
       CASE WHEN question_id IS NULL THEN 'question_id:missing' END,
       CASE WHEN title IS NULL THEN 'title:missing' END,
-      CASE WHEN creation_date IS NULL THEN 'creation_date:missing' END) AS missing
+      CASE WHEN creation_date IS NULL THEN 'creation_date:missing' END) AS issues,
+    concat_ws('; ', nullif(issues, ''),
+      CASE WHEN coalesce(last_activity_date, creation_date) IS NULL THEN 'last_activity_date:missing' END
+    ) AS missing
   FROM versions
 )"""
 
+# Hour folder of a record; undated records take the fixed fallback time.
+FALLBACK = 1700000000
+
+
+def hour_columns(seconds: str = f"coalesce(creation_date, {FALLBACK})") -> str:
+    t = ts(seconds)
+    return (
+        f"CAST(year({t}) AS VARCHAR) AS year, lpad(CAST(month({t}) AS VARCHAR), 2, '0') AS month, "
+        f"lpad(CAST(day({t}) AS VARCHAR), 2, '0') AS day, lpad(CAST(hour({t}) AS VARCHAR), 2, '0') AS hour"
+    )
+
+
+HOUR_PATH = "'year=' || year || '/month=' || month || '/day=' || day || '/hour=' || hour"
+_LAKE = _VERSIONS + f""",
+lake AS (SELECT event_id, event_type, {RECORD}, {hour_columns()} FROM versions)"""
+
 
 def _json_member(name: str, value: str) -> str:
     return f"""'"{name}":' || {value}"""
@@ -184,3 +203,4 @@ on_daily = _with(_DAILY)
 on_gold = _with(_GOLD)
 on_records = _with(_RECORDS)
 on_messages = _with(_ENVELOPES)
+on_lake = _with(_LAKE)

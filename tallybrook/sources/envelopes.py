@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook import fixed_values as fv
 from tallybrook.operators.contract import check_contract, is_valid
 from tallybrook.operators.latest import latest_by_key
-from tallybrook.schemas import CONTRACT, ENVELOPE_DDL, RECORD_COLUMNS, RECORD_DDL
+from tallybrook.operators.once import with_columns_once, with_struct_columns
+from tallybrook.schemas import ENVELOPE_DDL, RECORD_COLUMNS, RECORD_DDL
 
 ACK_NO_MESSAGE, ACK_NO_DATA = "ack_no_message", "ack_no_data"
 FAILED, DEAD, STORED = "failed", "dead", "stored"
@@ -17,20 +18,17 @@ OUTCOMES = (ACK_NO_MESSAGE, ACK_NO_DATA, FAILED, DEAD, STORED)
 
 def parse_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Add ``has_message``, ``raw_message_id``, ``has_data`` and ``payload`` (null if not base64)."""
-    message = F.col("_envelope.message")
-    data = F.col("_envelope.message.data")
-    return (
-        df.withColumn("_envelope", F.from_json(value_col, ENVELOPE_DDL))
-        .withColumns(
-            {
-                "has_message": message.isNotNull(),
-                "raw_message_id": F.col("_envelope.message.messageId"),
-                "has_data": F.coalesce(data != "", F.lit(False)),
-                "payload": F.try_to_binary(data, F.lit("base64")).cast("string"),
-            }
-        )
-        .drop("_envelope")
-    )
+    opened = with_struct_columns(df, F.from_json(value_col, ENVELOPE_DDL))
+    data = F.col("message.data")
+    return with_columns_once(
+        opened,
+        {
+            "has_message": F.col("message").isNotNull(),
+            "raw_message_id": F.col("message.messageId"),
+            "has_data": F.coalesce(data != "", F.lit(False)),
+            "payload": F.try_to_binary(data, F.lit("base64")).cast("string"),
+        },
+    ).drop("message")
 
 
 def with_message_id(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -45,36 +43,27 @@ def parse_records(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Add the record's columns and ``type_issues`` from its JSON text.
 
     The typed parse refuses values of another JSON type and reports the row as corrupt. Only such
-    rows are parsed again, as text, to name the fields.
+    rows are parsed again, as text, to name the fields that have a value the typed parse lost.
     """
     typed = F.from_json(
         payload_col,
         f"{RECORD_DDL}, _corrupt string",
         {"columnNameOfCorruptRecord": "_corrupt"},
     )
-    as_text = F.from_json(payload_col, ", ".join(f"{f.name} string" for f in CONTRACT))
-
-    def wrong(name: str) -> Column:
-        return F.col(f"_typed.{name}").isNull() & F.col(f"_text.{name}").isNotNull()
-
-    named = F.array_compact(
-        F.array(*[F.when(wrong(f.name), F.lit(f"{f.name}:wrong_type")) for f in CONTRACT])
+    names = F.array(*[F.lit(name) for name in RECORD_COLUMNS])
+    understood = F.array_compact(
+        F.array(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in RECORD_COLUMNS])
     )
+    as_text = F.from_json(payload_col, "map<string,string>")
+    given = F.map_keys(F.map_filter(as_text, lambda _, text: text.isNotNull()))
+    lost = F.array_except(F.array_intersect(names, given), understood)
+    issues = F.transform(lost, lambda name: F.concat(name, F.lit(":wrong_type")))
     malformed = F.array(F.lit("record:malformed"))
-    broken = F.col("_typed._corrupt").isNotNull()
-    return (
-        df.withColumn("_typed", typed)
-        .withColumn("_text", F.when(broken, as_text))
-        .withColumns(
-            {
-                **{name: F.col(f"_typed.{name}") for name in RECORD_COLUMNS},
-                "type_issues": F.when(
-                    broken, F.when(F.size(named) > 0, named).otherwise(malformed)
-                ).otherwise(F.expr("cast(array() as array<string>)")),
-            }
-        )
-        .drop("_typed", "_text")
+    none = F.expr("cast(array() as array<string>)")
+    found = F.when(F.col("_corrupt").isNull(), none).otherwise(
+        F.coalesce(F.nullif(issues, none), malformed)
     )
+    return with_columns_once(with_struct_columns(df, typed), {"type_issues": found}).drop("_corrupt")
 
 
 def classify_delivery(df: DataFrame) -> DataFrame:
