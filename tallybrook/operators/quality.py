@@ -186,6 +186,17 @@ def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
     return df.filter(rule.unexpected())
 
 
+def run_model_tests(df: DataFrame, model: str, tests: Sequence[Rule]) -> DataFrame:
+    """``model, test, column, failing_rows, passed`` from one scan; ``failing_rows`` lists them."""
+    return run_suite(df, model, tests).select(
+        F.col("suite").alias("model"),
+        F.col("rule").alias("test"),
+        "column",
+        F.col("unexpected_count").alias("failing_rows"),
+        (F.col("unexpected_count") == 0).alias("passed"),
+    )
+
+
 def write_results(results: DataFrame, path: str, at: datetime | None = None) -> str:
     """Append the results as JSON under a UTC run stamp, which is returned."""
     stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
