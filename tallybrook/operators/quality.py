@@ -18,6 +18,9 @@ RESULT_COLUMNS = (
 )
 
 
+LONG_TEXT = 64  # characters; a SHA-256 in hex is as long
+
+
 @dataclass(frozen=True)
 class Rule:
     """A check on one column; ``mostly`` is the share of non-null values that must pass."""
@@ -232,10 +235,18 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, nulls, null share, distinct values and rows with a repeated value.
 
     All columns share one scan and one shuffle of (column, value) counts that were combined in each
-    task first, so frequent values and nulls cost one row per task.
+    task first, so frequent values and nulls cost one row per task. A long value is counted under the
+    SHA-256 of the whole of it, so that texts are compared in full but not shuffled.
     """
     columns = list(columns or df.columns)
-    values = df.select(*[F.col(c).cast("string") for c in columns]).unpivot([], columns, "column", "value")
+
+    def key(column: str) -> Column:
+        text = F.col(column).cast("string")
+        if not isinstance(df.schema[column].dataType, T.StringType):
+            return text.alias(column)
+        return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text).alias(column)
+
+    values = df.select(*[key(c) for c in columns]).unpivot([], columns, "column", "value")
     counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
     known = F.col("value").isNotNull()
 

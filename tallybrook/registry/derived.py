@@ -34,7 +34,9 @@ def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         to_epoch(F.col("ts")).alias("ep"),
         F.pmod(F.col("event_id"), n_documents).alias("doc_id"),
     )
-    return event.join(documents.select("doc_id", "text"), "doc_id")
+    # Both tables grow together, so neither is broadcast; a small text file in one row group would
+    # otherwise also leave all later text work to a single task.
+    return event.join(documents.select("doc_id", "text").hint("merge"), "doc_id")
 
 
 def _every(n: int) -> Column:
