@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 from functools import reduce
@@ -148,32 +148,45 @@ def _row(suite, rule, elements, missing, unexpected, pct, success, error=None) -
     return F.struct(*[v.alias(n) for n, v in zip(RESULT_COLUMNS, values)])
 
 
-def run_suite(df: DataFrame, suite: str, rules: Sequence[Rule]) -> DataFrame:
-    """One result row per rule, from one scan and without bringing data to the driver.
+def run_suites(df: DataFrame, suites: Mapping[str, Sequence[Rule]]) -> DataFrame:
+    """One result row per suite and rule, from one scan and without bringing data to the driver.
 
-    A rule on a column that does not exist fails with an error and does not stop the suite. Each
-    uniqueness rule after the first needs an aggregation of its own over that column.
+    A rule on a column that does not exist fails with an error and does not stop the suite. Rules
+    that occur in several suites are measured once. Uniqueness of a second column needs an
+    aggregation of its own over that column.
     """
-    present = [r for r in rules if r.column is None or r.column in df.columns]
-    absent = [r for r in rules if r not in present]
-    uniques = [r for r in present if isinstance(r, Unique)]
-    shared = [r for r in present if r not in uniques[1:]]
-
-    def results(group: Sequence[Rule], unique: Rule | None, lost: Sequence[Rule] = ()) -> DataFrame:
-        rows = [_result_row(suite, i, r) for i, r in enumerate(group)]
+    asked = [(suite, rule) for suite, rules in suites.items() for rule in rules]
+    lost = [(s, r) for s, r in asked if r.column is not None and r.column not in df.columns]
+    present = [(s, r) for s, r in asked if (s, r) not in lost]
+    unique_columns = list(dict.fromkeys(r.column for _, r in present if isinstance(r, Unique)))
+    own = unique_columns[1:]
+
+    def results(group: Sequence[tuple[str, Rule]], lost: Sequence[tuple[str, Rule]] = ()) -> DataFrame:
+        rules = list(dict.fromkeys(rule for _, rule in group))
+        unique = next((r for r in rules if isinstance(r, Unique)), None)
+        rows = [_result_row(suite, rules.index(rule), rule) for suite, rule in group]
         null, none = F.lit(None).cast("bigint"), F.lit(None).cast("double")
         rows += [
             _row(suite, r, F.col("elements"), null, null, none, F.lit(False),
                  f"column not found: {r.column}")
-            for r in lost
+            for suite, r in lost
         ]
-        return _totals(df, group, unique).select(F.inline(F.array(*rows)))
-
-    frames = [results(shared, uniques[0] if uniques else None, absent)]
-    frames += [results([r], r) for r in uniques[1:]]
+        return _totals(df, rules, unique).select(F.inline(F.array(*rows)))
+
+    shared = [(s, r) for s, r in present if not (isinstance(r, Unique) and r.column in own)]
+    frames = [results(shared, lost)]
+    frames += [
+        results([(s, r) for s, r in present if isinstance(r, Unique) and r.column == column])
+        for column in own
+    ]
     return reduce(DataFrame.unionByName, frames)
 
 
+def run_suite(df: DataFrame, suite: str, rules: Sequence[Rule]) -> DataFrame:
+    """One result row per rule of a single suite."""
+    return run_suites(df, {suite: rules})
+
+
 def suite_success(results: DataFrame) -> DataFrame:
     """``suite, success``: a suite passes when all its rules do."""
     return results.groupBy("suite").agg(F.bool_and("success").alias("success"))

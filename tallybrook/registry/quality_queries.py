@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.fixed_values import MONITORING_MOSTLY
@@ -129,9 +127,8 @@ _ALL_SUITES += [("silver", n, r) for n, r in suites.SILVER_SUITES.items()]
     sql.on_silver(" UNION ALL ".join(s for args in _ALL_SUITES for s in _suite_selects(*args))),
 )
 def dq_suite(spark, sf_dir):
-    frames = {"raw": questions_raw(spark, sf_dir), "silver": _silver(spark, sf_dir)}
-    results = [dq.run_suite(frames[table], name, rules) for table, name, rules in _ALL_SUITES]
-    return reduce(DataFrame.unionByName, results)
+    bronze = dq.run_suites(questions_raw(spark, sf_dir), suites.BRONZE_SUITES)
+    return bronze.unionByName(dq.run_suites(_silver(spark, sf_dir), suites.SILVER_SUITES))
 
 
 @query("dq_results", _suite_sql("silver", "silver_full", suites.SILVER_FULL))

@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import load
@@ -226,3 +227,27 @@ def test_copies_are_spread_before_the_dedup(spark, tmp_path):
 def test_columns_once(spark):
     df = with_columns_once(spark.range(2), {"a": F.col("id") + 1, "b": F.lit(None).cast("string")})
     assert [tuple(r) for r in df.orderBy("id").collect()] == [(0, 1, None), (1, 2, None)]
+
+
+class _Session:
+    """Just enough of a session to ask where shared files go."""
+
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.applicationId = f"app-{id(self)}"
+        self.checkpoint_dir = None
+
+    def get(self, key, default=None):
+        return default
+
+    def setCheckpointDir(self, path):
+        self.checkpoint_dir = path
+
+
+def test_only_local_mode_gets_a_temporary_folder():
+    local = _Session("local[2]")
+    assert shared_dir(local) == shared_dir(local) == local.checkpoint_dir
+    with pytest.raises(RuntimeError):
+        shared_dir(_Session("yarn"))

@@ -104,3 +104,15 @@ def test_profile_compares_whole_texts(spark):
     row = dq.profile(frame).first()
     assert (row.element_count, row.null_count, row.distinct_count, row.duplicate_rows) == (4, 1, 2, 2)
     assert row.null_share == 0.25
+
+
+def test_suites_share_a_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 2, "t"), (1, None, None)], "question_id bigint, creation_date bigint, title string").write.parquet(path)
+    results = dq.run_suites(spark.read.parquet(path), suites.BRONZE_SUITES)
+    assert results._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {(r.suite, r.rule, r.column): r.success for r in results.collect()}
+    assert len(got) == 14
+    assert got[("bronze_strict", "NotNull", "title")] is False
+    assert got[("bronze_monitoring", "Unique", "question_id")] is False
+    assert got[("bronze_monitoring", "RowCount", None)] is True
