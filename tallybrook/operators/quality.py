@@ -247,29 +247,46 @@ def schema_drift(df: DataFrame, expected: T.StructType) -> list[tuple[str, str]]
 def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, nulls, null share, distinct values and rows with a repeated value.
 
-    All columns share one scan and one shuffle of (column, value) counts that were combined in each
-    task first, so frequent values and nulls cost one row per task. A long value is counted under the
-    SHA-256 of the whole of it, so that texts are compared in full but not shuffled.
+    Whole-number columns share one scan and one shuffle of (column, value) counts, all others
+    another, each reading only its columns. Counts are combined in each task first, so frequent
+    values and nulls cost one row per task. A long text is counted under the SHA-256 of the whole of
+    it: texts are compared in full but not shuffled.
     """
     columns = list(columns or df.columns)
+    whole = [c for c in columns if isinstance(df.schema[c].dataType, T.IntegralType)]
+    others = [c for c in columns if c not in whole]
 
-    def key(column: str) -> Column:
+    def as_text(column: str) -> Column:
         text = F.col(column).cast("string")
         if not isinstance(df.schema[column].dataType, T.StringType):
-            return text.alias(column)
-        return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text).alias(column)
-
-    values = df.select(*[key(c) for c in columns]).unpivot([], columns, "column", "value")
-    counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
+            return text
+        return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
+
+    parts = []
+    if whole:
+        parts.append(_value_stats(df, {c: F.col(c).cast("bigint") for c in whole}))
+    if others:
+        parts.append(_value_stats(df, {c: as_text(c) for c in others}))
+    stats = reduce(DataFrame.unionByName, parts)
+    return stats.withColumn("null_share", F.try_divide("null_count", "element_count"))
+
+
+def _value_stats(df: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """Counts per column of same-typed keys. Columns go by number until the end, to keep rows narrow."""
+    names = list(keys)
+    numbered = df.select(*[key.alias(str(i)) for i, key in enumerate(keys.values())])
+    values = numbered.unpivot([], numbered.columns, "at", "value").select(F.col("at").cast("int"), "value")
+    counts = values.groupBy("at", "value").agg(F.count("*").alias("n"))
     known = F.col("value").isNotNull()
 
     def total(column: Column) -> Column:
         return F.coalesce(F.sum(column), F.lit(0))
 
-    per_column = counts.groupBy("column").agg(
+    per_column = counts.groupBy("at").agg(
         F.sum("n").alias("element_count"),
         total(F.when(~known, F.col("n"))).alias("null_count"),
         F.count("value").alias("distinct_count"),
         total(F.when(known & (F.col("n") > 1), F.col("n"))).alias("duplicate_rows"),
     )
-    return per_column.withColumn("null_share", F.try_divide("null_count", "element_count"))
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("at") + 1)
+    return per_column.select(name.alias("column"), *[c for c in per_column.columns if c != "at"])
