@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 from oracle import connect, differences
+from tallybrook import registry
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,8 @@ def connection(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
