@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import shards
+from tallybrook.llm import shards, sql, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_warc", sql.OP4)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through ARC archives to WARC files and back."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).drop("record_id")
+
+
+@query("op5_url_filter", sql.OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    return urls.judge_pages(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 if corpus_pipeline.STAGES:
     QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL is not None:
