@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import shards, sql, urls, warc
+from tallybrook.llm import kdsearch, shards, sql, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op7_kd_search", sql.OP7)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best partners of every fiftieth vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return kdsearch.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
 if corpus_pipeline.STAGES:
     QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL is not None:
