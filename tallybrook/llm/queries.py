@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import kdsearch, shards, sql, urls, warc
+from tallybrook.llm import kdsearch, licenses, shards, sql, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdsearch.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+@query("op9_licenses")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 if corpus_pipeline.STAGES:
     QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL is not None:
