@@ -85,45 +85,53 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at.astype(np.int64)
 
 
-def _word_hashes(data: np.ndarray, starts_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and start positions of the space-separated words; a word also starts at starts_at."""
-    letter = data != 32
+def _tokens(data: np.ndarray, starts_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the tokens between white space; a token also starts at starts_at."""
+    letter = data > 32
     first = letter.copy()
     first[1:] &= ~letter[:-1]
-    inside = starts_at[starts_at < len(data)]
-    first[inside] = letter[inside]
+    first[starts_at] = letter[starts_at]
     starts = np.flatnonzero(first)
     last = letter.copy()
     last[:-1] &= ~letter[1:] | first[1:]
     ends = np.flatnonzero(last) + 1
     sums, (_, down) = prefix_sums(data, BASES[0]), powers(BASES[0], len(data))
-    return mix((sums[ends] - sums[starts]) * down[starts]), starts
+    return mix((sums[ends] - sums[starts]) * down[starts]), starts, ends
 
 
-def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all rows of a column of plain_words, and the offsets of the rows in them.
+def batch_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, rows, hashes, starts, ends) of the tokens of a string column; ``rows`` are the
+    offsets of the rows in the last three.
 
-    Works through the bytes in chunks cut at a space or a row's end, so that memory does not follow
-    the length of a text.
+    Works through the bytes in chunks cut at white space or a row's end, so that memory follows the
+    number of tokens, not 8-byte copies of all bytes.
     """
     data, rows = string_bytes(column)
-    hashes, starts, at, end = [], [], int(rows[0]), int(rows[-1])
+    parts, at, end = [], int(rows[0]), int(rows[-1])
     with np.errstate(over="ignore"):
         while at < end:
             stop = min(at + CHUNK, end)
             if stop < end:
                 row_end = int(rows[np.searchsorted(rows, stop, "right") - 1])
-                spaces = np.flatnonzero(data[max(at, row_end) : stop] == 32)
+                spaces = np.flatnonzero(data[max(at, row_end) : stop] <= 32)
                 cut = max(at, row_end) + int(spaces[-1]) + 1 if len(spaces) else row_end
-                stop = cut if cut > at else min(end, int(rows[np.searchsorted(rows, at, "right")]))
+                next_row = int(rows[np.searchsorted(rows, at, "right")])
+                stop = cut if cut > at else min(end, next_row)
             inner = rows[(rows >= at) & (rows < stop)] - at
-            found, begun = _word_hashes(data[at:stop], inner)
-            hashes.append(found)
-            starts.append(begun + at)
+            hashes, starts, ends = _tokens(data[at:stop], inner)
+            parts.append((hashes, starts + at, ends + at))
             at = stop
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(rows), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), rows)
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return data, np.zeros(len(rows), np.int64), np.zeros(0, np.uint64), none, none
+    hashes, starts, ends = (np.concatenate(x) for x in zip(*parts))
+    return data, np.searchsorted(starts, rows), hashes, starts, ends
+
+
+def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all rows of a column of plain_words, and the offsets of the rows in them."""
+    _, rows, hashes, _, _ = batch_tokens(column)
+    return hashes, rows
 
 
 def batch_shingles(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -153,6 +161,17 @@ def record_batches(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Itera
             yield batch.slice(at, rows)
 
 
+def byte_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of one column; a longer row comes alone."""
+    for batch in batches:
+        _, rows = string_bytes(batch[column])
+        at = 0
+        while at < batch.num_rows:
+            stop = max(at + 1, int(np.searchsorted(rows, rows[at] + most, "right")) - 1)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """(node, label) for every node of the edges (a, b); label is the least node of the component.
 

@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import kdsearch, licenses, shards, sql, urls, warc
+from tallybrook.llm import kdsearch, licenses, quality, shards, sql, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document."""
+    return quality.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_shards")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 contiguous shards of nearly equal bytes."""
