@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import kdsearch, licenses, quality, shards, sql, urls, warc
+from tallybrook.llm import kdsearch, licenses, neardup, quality, shards, sql, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_pages(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op6_ngram_join")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate class and its number of links."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 @query("op7_kd_search", sql.OP7)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners of every fiftieth vector."""
