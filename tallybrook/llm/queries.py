@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import kdsearch, licenses, neardup, quality, shards, sql, urls, warc
+from tallybrook.llm import kdsearch, licenses, neardup, quality, shards, sql, suffixes, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op10_suffix_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that occur twice."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 if corpus_pipeline.STAGES:
     QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL is not None:
