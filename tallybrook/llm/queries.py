@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import kdsearch, licenses, neardup, quality, shards, sql, suffixes, urls, warc
+from tallybrook.llm import kdsearch, licenses, neardup, quality, shards, sql, suffixes, tiling, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold."""
+    return tiling.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score and decision for every document."""
