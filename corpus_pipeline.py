@@ -1,8 +1,57 @@
-"""The corpus pipeline: documents through filters, deduplication, decontamination, encoding."""
+"""The corpus pipeline: bad documents go, one of each near-duplicate group stays, repeated passages
+and benchmark leaks go, and what is left is encoded.
 
-STAGES = []
+Each stage works on all rows that the one before kept; its result is written and read again.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from tallybrook.llm import bpe, neardup, quality, suffixes, tiling
+from tallybrook.llm.common import stage, table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return quality.keep_good(docs)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that the n-gram Jaccard join links."""
+    return neardup.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 400-byte strings that occur twice among them."""
+    return suffixes.without_repeats(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return tiling.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and the decoded bytes of every document."""
+    return bpe.token_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("suffix_array_dedup", cut_repeats),
+    ("benchmark_decontamination", drop_leaks),
+    ("byte_level_bpe", encode),
+]
+#: The classifier and the merges have no SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole documents table."""
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

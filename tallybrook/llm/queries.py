@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import kdsearch, licenses, neardup, quality, shards, sql, suffixes, tiling, urls, warc
+from tallybrook.llm import bpe, kdsearch, licenses, neardup, quality, shards, sql, suffixes, tiling, urls, warc
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +72,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdsearch.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
 
 
+@query("op8_byte_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of every document's ids and decoded bytes."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 @query("op9_licenses")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licences of every document."""
@@ -83,7 +91,6 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-if corpus_pipeline.STAGES:
-    QUERIES["pipeline"] = corpus_pipeline.run
-    if corpus_pipeline.ORACLE_SQL is not None:
-        ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -42,6 +42,7 @@ PART_ROWS = 1 << 20
 ITEMS_DDL = "core long, span long, owner long, place long"
 REPEATED, DEEPER, AT_BOUNDARY = 0, 1, 2
 FOUND_DDL = f"kind int, {ITEMS_DDL}"
+CUT_DDL = "text_id binary, n_removed long, n_spans long, cut_sha256 string, kept_text string"
 
 
 def _fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
@@ -262,7 +263,8 @@ def compare_suffixes(items: DataFrame, parts: int) -> tuple[DataFrame, DataFrame
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the bytes that repeated windows cover."""
+    """Remove the bytes that repeated windows cover. ``kept_text`` leaves out the parts of a
+    character that a cut splits."""
     for batch in batches:
         rows = []
         for text_id, data, runs in zip(batch["text_id"], batch["data"], batch["runs"]):
@@ -278,17 +280,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     removed += stop - end
                     at = end = stop
             kept.append(data[at:])
-            rows.append((text_id.as_py(), removed, spans, b"".join(kept)))
-        ids, removed, spans, kept = zip(*rows) if rows else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.binary()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
-            names=["text_id", "n_removed", "n_spans", "kept"],
-        )
+            kept = [bytes(part) for part in kept]
+            text = "".join(part.decode("utf-8", "ignore") for part in kept)
+            rows.append((text_id.as_py(), removed, spans, hashlib.sha256(b"".join(kept)).hexdigest(), text))
+        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        columns = list(zip(*rows)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in CUT_DDL.split(", ")])
 
 
 def cut_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
     """(text_id, n_bytes, n_removed, n_spans, kept_sha256) of every distinct text, for a join by
-    ``text_key``; ``with_text`` adds the bytes that stay as ``kept``, null where that is the whole text.
+    ``text_key``; ``with_text`` adds what stays as ``kept_text``, null where that is the whole text.
 
     Equal texts are worked on once, and count as repeats of each other. Null texts have no row here;
     texts below ``LENGTH`` bytes have nothing to lose. Texts are kept in a table bucketed by their id,
@@ -323,16 +325,13 @@ def cut_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
         runs = runs.unionByName(more)
     per_text = runs.groupBy("text_no").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     per_text = numbers.join(per_text, "text_no").select("text_id", "runs")
-    cut = texts.join(per_text.hint("shuffle_hash"), "text_id").select("text_id", "data", "runs").mapInArrow(
-        _cut, "text_id binary, n_removed long, n_spans long, kept binary"
-    )
-    cut = cut.withColumn("cut_sha256", F.sha2("kept", 256))
-    cut = stage(cut if with_text else cut.drop("kept"), "cut-texts", "zstd")
+    cut = texts.join(per_text.hint("shuffle_hash"), "text_id").select("text_id", "data", "runs").mapInArrow(_cut, CUT_DDL)
+    cut = stage(cut if with_text else cut.drop("kept_text"), "cut-texts", "zstd")
     zero = F.lit(0).cast("long")
     whole = texts.select("text_id", F.octet_length("data").cast("long").alias("n_bytes"), "kept_sha256")
     done = whole.join(cut, "text_id", "left").select(
         "text_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
-        F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), *(["kept"] if with_text else []),
+        F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), *(["kept_text"] if with_text else []),
     )
     done = stage(done, "suffix-results", "zstd")
     spark.sql(f"DROP TABLE {name}")
@@ -353,3 +352,15 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         "doc_id", *[F.coalesce(c, zero).alias(c) for c in ("n_bytes", "n_removed", "n_spans")],
         F.coalesce("kept_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("kept_sha256"),
     )
+
+
+def without_repeats(documents: DataFrame) -> DataFrame:
+    """The documents, all columns, with what stays of their texts; ``n_chars`` follows, if there."""
+    done = cut_repeats(documents, with_text=True).where("kept_text IS NOT NULL")
+    cut = done.select(F.col("text_id").alias("_cut_id"), F.col("kept_text").alias("_kept_text"))
+    joined = documents.join(cut, text_key(F.col("text")) == F.col("_cut_id"), "left").drop("_cut_id")
+    joined = joined.withColumn("text", F.coalesce("_kept_text", "text"))
+    if "n_chars" in documents.columns:
+        length = F.when(F.col("_kept_text").isNotNull(), F.length("_kept_text")).otherwise(F.col("n_chars"))
+        joined = joined.withColumn("n_chars", length.cast(documents.schema["n_chars"].dataType))
+    return joined.select(*[F.col(f"`{c}`") for c in documents.columns])
