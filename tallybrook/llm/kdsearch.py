@@ -20,6 +20,11 @@ FOUND_DDL = "query_id long, vec_id long, score long"
 LONG = (1 << 63) - 1
 
 
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    """Whole numbers of any size stop at the greatest long; doubles here are far below it."""
+    return np.clip(scores, -LONG, LONG) if scores.dtype == object else scores
+
+
 class Tree:
     """Median splits of the widest dimension; every node has a tight box and its least id.
 
@@ -56,7 +61,7 @@ class Tree:
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """For each query and node, what no vector of the box exceeds."""
         zero = queries * 0
-        return np.maximum(queries, zero) @ self.high.T + np.minimum(queries, zero) @ self.low.T
+        return _as_long(np.maximum(queries, zero) @ self.high.T + np.minimum(queries, zero) @ self.low.T)
 
     def search(self, query: np.ndarray, own: int, bounds: np.ndarray, k: int, worst: tuple | None) -> list[tuple]:
         """Up to k (score, -id) better than ``worst``, nodes with the greatest bound first."""
@@ -73,7 +78,7 @@ class Tree:
                     heapq.heappush(heap, (-bounds[child], child))
                 continue
             rows = self.rows[node]
-            scores, ids = self.vectors[rows] @ query, self.ids[rows]
+            scores, ids = _as_long(self.vectors[rows] @ query), self.ids[rows]
             fits = ids != own if worst is None else (ids != own) & (scores >= worst[0])
             scores, ids = scores[fits], ids[fits]
             order = np.lexsort((ids, -scores))[:k]
@@ -91,7 +96,7 @@ class Tree:
 
 def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
     values = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return np.floor(values.astype(np.float64) * 256).reshape(-1, size)
+    return np.floor(values.astype(np.float64) * 256).reshape(len(column), size)
 
 
 def _by_size(found: pa.Table) -> dict[int, np.ndarray]:
@@ -117,7 +122,7 @@ def _search_cell(k: int):
             ):
                 worst = None if score is None else (score, -vec_id)
                 for value, negative in tree.search(query, own, tree.bounds(query[None, :])[0], k, worst):
-                    found.append((own, -int(negative), max(-LONG, min(LONG, int(value)))))
+                    found.append((own, -int(negative), int(value)))
         columns = list(zip(*found)) or [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 

@@ -48,6 +48,8 @@ SAMPLE_DOCUMENTS = 300
 SAMPLE_PARAGRAPHS = 4000
 #: A word in this share of the sampled paragraphs says nothing about licences.
 COMMON_SHARE = 0.01
+#: Share of a sampled paragraph's n-grams from which it is like the wordings and no example of text without licence.
+ALIKE = 0.3
 #: Share of a name's word pairs that a paragraph must hold to confirm the family.
 CONFIRM = 0.8
 #: Probability below which a paragraph with licence wording is of unknown family.
@@ -116,25 +118,17 @@ def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str,
     sample = documents.where(F.pmod(F.xxhash64("text"), F.lit(total)) < SAMPLE_DOCUMENTS)
     plain = paragraphs(sample).select("words", F.array_join("words", " ").alias("line")).dropDuplicates(["line"])
     plain = stage(plain.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS), "licence-sample")
-    templates = name_templates(spark)
-    alike = _with_similarity(plain.select("line", F.explode(grams(F.col("words"))).alias("gram")), templates, ["line"])
-    plain = plain.join(alike.where(F.col("similarity") >= CONFIRM).select("line").distinct(), "line", "left_anti")
-
     known = [(family, carrier.format(name)) for family, names in NAMES.items() for name in names for carrier in CARRIERS]
     known += [(UNKNOWN, carrier.format(name)) for name in OTHER_NAMES for carrier in CARRIERS]
+    own_grams = sorted({" ".join(w[i : i + n]) for _, line in known for w in [line.split()] for n in (2, 3) for i in range(len(w) - n + 1)})
+    held = F.size(F.array_intersect(grams(F.col("words")), F.lit(own_grams)))
+    plain = plain.where((held < ALIKE * F.size(grams(F.col("words")))) | (F.size("words") < 2))
     own_words = sorted({word for _, line in known for word in line.split()})
     shares = plain.select(F.explode(F.array_distinct("words")).alias("word")).where(F.col("word").isin(own_words)).groupBy("word").count()
     least = max(COMMON_SHARE * plain.count(), 1)
     common = {row["word"] for row in shares.where(F.col("count") >= least).collect()}  # of the wordings' words
     triggers = [word for word in own_words if word not in common and not word.isdigit()]
-    vocabulary = sorted({
-        gram
-        for _, line in known
-        for n in (2, 3)
-        for i in range(len(line.split()) - n + 1)
-        for gram in [" ".join(line.split()[i : i + n])]
-        if set(gram.split()) & set(triggers)
-    })
+    vocabulary = [gram for gram in own_grams if set(gram.split()) & set(triggers)]
     classes = [*NAMES, UNKNOWN, NONE]
     rows = _rows(spark, [(classes.index(c), line) for c, line in known], "label double, line string").unionByName(
         plain.select(F.lit(float(classes.index(NONE))).alias("label"), "line")

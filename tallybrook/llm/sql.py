@@ -39,21 +39,19 @@ t AS (SELECT source, CASE WHEN starts_with(link, '//') THEN 'http:' || link
                           WHEN regexp_matches(link, '(?i)^https?://') THEN link
                           WHEN NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'http://' || source END AS target_url FROM l),
 h AS (SELECT source, {_REST.format("target_url")} AS rest FROM t WHERE target_url IS NOT NULL),
-e AS (SELECT source, {_PAGE_HOST} AS target, count(*) AS links FROM h WHERE rest <> '' GROUP BY ALL),
+e AS (SELECT source, {_PAGE_HOST} AS target, count(*) AS links FROM h WHERE rest <> '' GROUP BY ALL HAVING target <> source),
 d AS (SELECT 'trust' AS kind, source, target, links FROM e UNION ALL SELECT 'distrust', target, source, links FROM e),
 share AS (SELECT kind, source, target, links / sum(links) OVER (PARTITION BY kind, source) AS share FROM d),
 base AS (SELECT kind, host, round(sum(weight), 9) AS weight
          FROM (SELECT * FROM w UNION ALL SELECT kind, source, 0.0 FROM share UNION ALL SELECT kind, target, 0.0 FROM share) GROUP BY ALL),
-links AS (SELECT * FROM share UNION ALL
-          SELECT kind, host, host, 1.0 FROM base b WHERE NOT EXISTS (SELECT 1 FROM share s WHERE s.kind = b.kind AND s.source = b.host)),
 scores AS (
   SELECT 0 AS n, kind, host, CAST(weight AS DOUBLE) AS score FROM base
   UNION ALL
   SELECT n + 1, kind, host, round(sum(part), 9)
   FROM (SELECT s.n, l.kind, l.target AS host, 0.85 * s.score * l.share AS part
-        FROM scores s JOIN links l ON l.kind = s.kind AND l.source = s.host WHERE s.n < 32
+        FROM scores s JOIN share l ON l.kind = s.kind AND l.source = s.host WHERE s.n < 32
         UNION ALL
-        SELECT m.n, b.kind, b.host, 0.15 * b.weight FROM base b, (SELECT DISTINCT n FROM scores) m WHERE m.n < 32)
+        SELECT m.n, b.kind, b.host, CAST(b.weight AS DOUBLE) FROM base b, (SELECT DISTINCT n FROM scores) m WHERE m.n < 32)
   GROUP BY n, kind, host),
 v AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN score END) AS trust, sum(CASE WHEN kind = 'distrust' THEN score END) AS distrust
       FROM scores WHERE n = 32 GROUP BY host)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.common import stage
 
-#: Part of a score that follows links in each round; the rest stays with the seeds.
+#: Part of a score that follows links in each round.
 FOLLOW = 0.85
 ROUNDS = 32
 #: Rounds between two written tables.
@@ -92,10 +92,11 @@ def spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
 
     ``seeds`` has (kind, host, weight), ``edges`` (kind, source, target, links) in the direction in
     which that kind spreads. Weights are not scaled to a sum of one, so a score reads the same in a
-    graph of any size; what a host without links would pass on stays with it. Ends when no score
-    moves by a unit of the last digit, or after ``ROUNDS`` rounds.
+    graph of any size: a seed has its weight, a host that one seed alone passes on to ``FOLLOW`` of
+    it. Links of a host to itself say nothing and are left out. Ends when no score moves by a unit
+    of the last digit, or after ``ROUNDS`` rounds.
     """
-    edges = edges.groupBy("kind", "source", "target").agg(F.sum("links").alias("links"))
+    edges = edges.where("source <> target").groupBy("kind", "source", "target").agg(F.sum("links").alias("links"))
     edges = stage(edges, "host-links")
     out = stage(edges.groupBy("kind", "source").agg(F.sum("links").alias("all_links")), "host-out")
     shares = stage(
@@ -103,13 +104,11 @@ def spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
         "host-shares",
     )
     nodes = edges.select("kind", F.col("source").alias("host")).union(edges.select("kind", F.col("target").alias("host")))
-    seeds = stage(
+    base = stage(
         seeds.select("kind", "host", "weight").unionByName(nodes.select("kind", "host", F.lit(0.0).alias("weight")))
         .groupBy("kind", "host").agg(F.round(F.sum("weight"), DIGITS).alias("weight")),
         "host-seeds",
     )
-    linked = out.select("kind", F.col("source").alias("host"), F.lit(1.0).alias("linked"))
-    base = stage(seeds.join(linked, ["kind", "host"], "left"), "host-base")
     scores = base.select("kind", "host", F.col("weight").alias("score"))
     for _ in range(ROUNDS // ROUNDS_PER_STAGE):
         before = scores.select("kind", "host", F.col("score").alias("before"))
@@ -117,11 +116,8 @@ def spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
             moved = shares.join(scores.withColumnRenamed("host", "source"), ["kind", "source"]).select(
                 "kind", F.col("target").alias("host"), (F.col("score") * F.col("share")).alias("part")
             )
-            kept = base.where("linked IS NULL").join(scores, ["kind", "host"]).select("kind", "host", F.col("score").alias("part"))
-            fixed = base.select("kind", "host", (F.col("weight") * (1 - FOLLOW) / FOLLOW).alias("part"))
-            scores = moved.unionByName(kept).unionByName(fixed).groupBy("kind", "host").agg(
-                F.round(FOLLOW * F.sum("part"), DIGITS).alias("score")
-            )
+            held = base.select("kind", "host", (F.col("weight") / FOLLOW).alias("part"))
+            scores = moved.unionByName(held).groupBy("kind", "host").agg(F.round(FOLLOW * F.sum("part"), DIGITS).alias("score"))
         scores = stage(scores, "host-scores")
         if not scores.join(before, ["kind", "host"]).where("score <> before").limit(1).count():
             break

@@ -1,0 +1,378 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tiktoken
+
+import plain
+from tallybrook.llm import bpe, kdsearch, licenses, neardup, quality, shards, suffixes, tiling, urls, warc
+from tallybrook.llm.common import batch_shingles, batch_words, components, posterior_keep
+
+RANDOM = random.Random(7)
+WORDS = ["".join(RANDOM.choice("abcdefghijklmnoprstuvw") for _ in range(RANDOM.randint(2, 9))) for _ in range(900)]
+
+
+def prose(n):
+    """Words, every third a short one, with a stop now and then."""
+    picked = (RANDOM.choice(("the", "of", "a", "in", "to")) if i % 3 == 2 else RANDOM.choice(WORDS) for i in range(n))
+    return " ".join(word + "." if i % 11 == 10 else word for i, word in enumerate(picked))
+
+
+LONG = prose(30_000)
+BASE = prose(120)
+NEAR = " ".join("changed" if i == 60 else w for i, w in enumerate(BASE.split()))
+PASSAGE = prose(100)
+TEXTS = [
+    None, "", "   ", "!!! ???", "!!! ???", "one two three", "one, two THREE", BASE, BASE, BASE.upper() + ".", NEAR, LONG, LONG + " end",
+    prose(40) + " " + PASSAGE + " " + prose(40), prose(30) + " " + PASSAGE + " " + prose(30), "na " * 700, "x" * 1000, "é" * 500, prose(3),
+]
+ROWS = [(i, t) for i, t in enumerate(TEXTS)] + [(7, BASE), (None, NEAR), (None, None)]
+DDL = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.createDataFrame(ROWS, DDL).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def clashing(documents):
+    """Columns named as the operators' own."""
+    return documents.selectExpr(
+        "doc_id", "text", "'en' AS lang", "length(text) AS n_chars", "1 AS shard", "2 AS label", "'k' AS text_id", "3 AS class_no", "4 AS words", "5 AS part"
+    )
+
+
+def empty(documents):
+    return documents.where("false")
+
+
+def same_columns(result, documents):
+    return result.columns == documents.columns and [f.dataType for f in result.schema] == [f.dataType for f in documents.schema]
+
+
+# -- helpers
+
+
+def test_words_and_shingles_in_small_chunks(monkeypatch):
+    texts = ["", None, "a bb ccc dd e f g", "solo", prose(5000)]
+    column = pa.array([None if t is None else " ".join(plain.words(t)) for t in texts])
+    whole = batch_words(column)
+    monkeypatch.setattr("tallybrook.llm.common.CHUNK", 64)
+    parts = batch_words(column)
+    assert all((a == b).all() for a, b in zip(whole, parts))
+    hashes, offsets = batch_shingles(*whole, 5)
+    for n, text in enumerate(texts):
+        assert len(set(hashes[offsets[n] : offsets[n + 1]].tolist())) == len(plain.shingles(text))
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 3)]
+    found = {r.node: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_posterior():
+    least = posterior_keep(0.8, 1e-6, 160)
+    assert least[0] == 0 and (np.diff(least) >= 0).all() and 80 < least[160] < 128
+
+
+# -- 1
+
+
+def test_tiles_equal_plain():
+    pick = random.Random(3)
+    for _ in range(60):
+        item = [pick.randrange(4) for _ in range(pick.randrange(1, 30))]
+        document = [pick.randrange(4) for _ in range(pick.randrange(1, 40))]
+        found = tiling.tile(np.array(item, np.uint64), np.array(document, np.uint64), 3)
+        assert found == plain.tiles(item, document, 3)
+
+
+def test_leaks(spark, documents, clashing):
+    item = PASSAGE.split()
+    moved = " ".join(item[50:] + item[:50])
+    benchmark = spark.createDataFrame([(1, moved), (1, moved), (2, "too short"), (3, None), (None, PASSAGE), (4, prose(30))], "item_id long, text string")
+    rows = tiling.find_leaks(documents, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(13, 1), (14, 1), (13, None), (14, None)} and len(rows) == 4
+    assert {r.tiles for r in rows if r.item_id == 1} == {2}
+    assert tiling.find_leaks(empty(documents), benchmark).count() == 0
+    assert tiling.find_leaks(documents, benchmark.where("false")).count() == 0
+    left = tiling.without_leaks(clashing, benchmark)
+    assert same_columns(left, clashing) and left.count() == len(ROWS) - 2
+
+
+# -- 2
+
+
+def test_quality_cases(spark, documents, clashing):
+    junk = [" | ".join(RANDOM.choices(WORDS, k=40)) for _ in range(15)] + ["same " * RANDOM.randrange(20, 90) for _ in range(10)]
+    more = spark.createDataFrame([(1000 + i, t) for i, t in enumerate([prose(RANDOM.randrange(10, 200)) for _ in range(150)] + junk)], DDL)
+    rows = quality.score_documents(documents.unionByName(more)).collect()
+    assert len(rows) == len(ROWS) + 175
+    assert [r.keep for r in sorted((r for r in rows if (r.doc_id or 0) >= 1000), key=lambda r: r.doc_id)] == [True] * 150 + [False] * 25
+    by_id = {r.doc_id: r for r in rows}
+    assert [by_id[i].score for i in (0, 1, 2)] == [0.0, 0.0, 0.0] and not by_id[0].keep
+    assert by_id[8].keep and by_id[11].keep and not by_id[15].keep
+    assert quality.score_documents(empty(documents)).count() == 0
+    kept = quality.keep_good(clashing)
+    assert same_columns(kept, clashing) and 0 < kept.count() < len(ROWS)
+
+
+def test_estimate_finds_labellers():
+    pick = np.random.default_rng(1)
+    truth = pick.random(20_000) < 0.8
+    rates = [0.95, 0.9, 0.85, 0.95, 0.9, 0.8, 0.9, 0.85]
+    code = np.zeros(len(truth), np.int64)
+    for rate in rates:
+        right = pick.random(len(truth)) < rate
+        cast = pick.random(len(truth)) < 0.9
+        vote = np.where(right == truth, quality.GOOD, quality.BAD)
+        code = code * 3 + np.where(cast, vote, quality.NONE)
+    votes, place, counts = np.unique(code, return_inverse=True, return_counts=True)
+    posterior, found, prior = quality.estimate(votes, counts)
+    assert abs(prior - 0.8) < 0.03
+    assert all(abs(f[1, quality.GOOD] - r) < 0.03 for f, r in zip(found, rates))
+    assert ((posterior[place] > 0.5) == truth).mean() > 0.97
+
+
+# -- 3
+
+
+@pytest.mark.parametrize("shards_", [1, 5, 24])
+def test_shard_cases(documents, shards_):
+    rows = shards.shard_documents(documents, shards_).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == sorted((i is None, i or 0) for i, _ in ROWS)
+    keys = sorted((zlib.crc32((t or "").encode()), len((t or "").encode()) + 8, i is not None, i or 0) for i, t in ROWS)
+    total, at, expected = sum(k[1] for k in keys), 0, []
+    for k in keys:
+        expected.append(min(shards_ - 1, (2 * at + k[1]) * shards_ // (2 * total)))
+        at += k[1]
+    in_order = sorted(rows, key=lambda r: (r.text_crc32, r.size, r.doc_id is not None, r.doc_id or 0))
+    assert [r.shard for r in in_order] == expected
+    for shard in set(expected):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(expected.count(shard)))
+    assert shards.shard_documents(empty(documents), shards_).count() == 0
+
+
+def test_sharded_documents_keep_columns(documents):
+    named = documents.selectExpr("doc_id", "text", "1 AS size", "2 AS part")
+    result = shards.sharded_documents(named, 4)
+    assert result.columns == [*named.columns, "shard", "slot"]
+    assert sorted(map(str, (r.text for r in result.collect()))) == sorted(str(t) for _, t in ROWS)
+
+
+# -- 4
+
+
+def test_arc_versions():
+    for version in (1, 2):
+        content = b"HTTP/1.1 200 OK\r\n\r\nwith\nlines\n\n"
+        archive = warc.arc_start(version, "a.arc", "20000101000000")
+        at = len(archive)
+        archive += warc.arc_record(version, "http://a/", "20010203040506", "text/html", content, at, "a.arc")
+        archive += warc.arc_record(version, "http://b/", "20010203040506", "text/html", b"", len(archive), "a.arc")
+        records = list(warc.parse_arc(archive))
+        assert [(h["url"], o, c) for h, o, c in records][0] == ("http://a/", at, content) and records[1][2] == b""
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.parse_arc(archive[: archive.index(b"HTTP", at) + 5]))
+        with pytest.raises(ValueError, match="header"):
+            list(warc.parse_arc(archive[:at] + b"one two\n"))
+    assert list(warc.parse_arc(b"")) == []
+
+
+def test_warc_cases(spark):
+    tricky = "<p>WARC/1.0\r\n\r\nContent-Length: 3\r\n\r\nx</p>\n\n"
+    rows = [
+        (1, "http://a/", "same"), (5, "http://b/", "same"), (3, None, "same"), (7, "http://c d/\n", None), (8, "", ""), (9, "x", tricky),
+        (10, "y", LONG), (5, "http://b/", "same"), (None, "z", "same"), (None, "z", "alone"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = warc.archive_round_trip(pages).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        texts = {(h or "").encode() for i, _, h in rows if i == r.page_id}
+        assert (r.payload_bytes, r.payload_digest) in {(len(t), warc.sha1_base32(t)) for t in texts}
+    kinds = [(r.page_id, r.record_type, r.refers_to) for r in found if r.payload_bytes == 4]
+    assert sorted(kinds, key=str) == sorted(
+        [(5, "response", None), (1, "revisit", 5), (3, "revisit", 5), (5, "revisit", 5), (None, "revisit", 5)], key=str
+    )
+    assert {(r.page_id, r.record_type, r.refers_to) for r in found if r.payload_bytes == 0} == {(7, "revisit", 8), (8, "response", None)}
+    assert warc.archive_round_trip(pages.where("false")).count() == 0
+
+
+# -- 5
+
+
+def test_url_parts(spark):
+    cases = [
+        ("http://A.Example.NET/en/x?y#z", "a.example.net", "/en/x"), ("https://h?q", "h", ""), ("h://É.ORG#f/x", "É.org", ""),
+        ("no scheme/x", "", ""), (None, "", ""), ("a://b://c/d", "b:", "//c/d"), ("://x", "x", ""),
+    ]
+    frame = spark.createDataFrame([(c[0],) for c in cases], "url string")
+    found = frame.select(urls.host_of(frame.url).alias("h"), urls.path_of(frame.url).alias("p")).collect()
+    assert [(r.h, r.p) for r in found] == [c[1:] for c in cases]
+
+
+def test_url_verdicts(spark):
+    link = lambda *to: "".join(f'<a class="x" href="{t}">t</a>' for t in to)
+    rows = [
+        (1, "http://good.org/fr/1", link("http://friend.com/x", "/own")), (2, "http://farm.com/en/", link("//spam.net/", "https://spam.net/y")),
+        (3, "http://friend.com/en/", None), (4, "http://spam.net/a", ""), (5, "http://x.example.net/en/a", ""), (6, "http://notnet/", ""),
+        (7, "http://example.com/de/", ""), (8, "http://example.com/en/", ""), (9, None, link("/a")), (9, None, None), (10, "mailto:x", ""),
+        (11, "http://farm2.com", link("http://farm.com/", "mailto:a@b")), (12, "http://net", ""),
+        (13, "http://example.com/en/2", ""),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in urls.judge_pages(pages).collect()}
+    assert {i for i, r in found.items() if r.verdict == "block"} == {2, 4, 7, 11}
+    assert (found[4].rule, found[5].rule, found[1].rule, found[8].rule, found[12].rule) == ("net/", "example.net/en/", "org/fr/", None, None)
+    assert (found[3].host_trust, found[2].host_distrust, found[11].host_distrust) == (0.85, 0.85, 0.7225)
+    assert urls.judge_pages(pages).count() == len(rows) and urls.judge_pages(pages.where("false")).count() == 0
+
+
+# -- 6
+
+
+def test_near_duplicate_cases(documents, clashing, monkeypatch):
+    expected = sorted(zip([r[0] for r in ROWS], plain.near_duplicates(ROWS)), key=str)
+    expected = [(i, (c if c is not None else i, n)) for i, (c, n) in expected]
+    for block in (neardup.BLOCK_SHINGLES, 150):  # the small one cuts components into blocks
+        monkeypatch.setattr(neardup, "BLOCK_SHINGLES", block)
+        found = neardup.near_duplicates(documents).collect()
+        assert sorted([(r.doc_id, (r.class_id, r.n_links)) for r in found], key=str) == sorted(expected, key=str)
+    kept = neardup.keep_one(clashing)
+    assert same_columns(kept, clashing)
+    groups = {c for i, (c, n) in expected if i is not None and TEXTS[i]}
+    assert sorted(r.doc_id for r in kept.where("text <> ''").collect()) == sorted(groups)
+    assert kept.where("text IS NULL OR text = ''").count() == 3
+    assert neardup.near_duplicates(empty(documents)).count() == 0 and neardup.keep_one(empty(documents)).count() == 0
+
+
+def test_large_near_group(spark):
+    base = prose(200).split()
+    rows = [(i, " ".join("w%d" % i if k == i % 200 else w for k, w in enumerate(base))) for i in range(60)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, DDL)).collect()
+    assert [(r.class_id, r.n_links) for r in sorted(found)] == plain.near_duplicates(rows)
+
+
+# -- 7
+
+
+def test_search_cases(spark, monkeypatch):
+    monkeypatch.setattr(kdsearch, "SHARD_ROWS", 40)
+    monkeypatch.setattr(kdsearch, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(kdsearch, "LEAF_ROWS", 4)
+    pick = random.Random(5)
+    rows = [(i, [pick.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(3)]) for i in range(150)] + [(i, [0.25, 0.5, 0.75]) for i in range(150, 260)]
+    rows += [(300, None), (301, [1.0, None, 0.0]), (302, [1.0, float("nan"), 0.0]), (303, [float("inf"), 0.0, 0.0]), (None, [9.0, 9.0, 9.0])]
+    rows += [(50, rows[50][1]), (400, [1.0, 2.0]), (450, [3.0, 4.0]), (500, []), (600, [1e300, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = kdsearch.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5).collect()
+    usable = {i: [int(np.floor(x * 256)) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    expected = []
+    for q in [i for i in usable if i % 50 == 0]:
+        limit = (1 << 63) - 1
+        product = lambda v: max(-limit, min(limit, sum(a * b for a, b in zip(usable[q], v))))
+        scores = [(-product(v), i) for i, v in usable.items() if i != q and len(v) == len(usable[q])]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:5])]
+    assert sorted(tuple(r) for r in found) == sorted(expected)
+    assert kdsearch.top_k(vectors.where("false"), vectors.where("false"), 5).count() == 0
+
+
+# -- 8
+
+
+def test_bpe_cases(spark, documents):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    tricky = [
+        "a\u00a0b\u2003 c\u0085d \u3000 e", "don't we'll I'M  \n\n  x\t", "ünï \U0001f600\U0001f600 漢字 １２３ ٣", "<|endoftext|>", " ", "\n", "w" * 3000,
+        "\u200b\ufeff\u1680x\x1cy\x1fz", "e\u0301a 1½²", None, "",
+    ]
+    rows = ROWS + [(100 + i, t) for i, t in enumerate(tricky)]
+    frame = spark.createDataFrame(rows, DDL)
+    found = sorted([tuple(r) for r in bpe.token_digests(frame, path, public_tokenizers.PATTERN).collect()], key=str)
+    expected = []
+    for i, text in rows:
+        ids = library.encode_ordinary(text or "")
+        expected.append((i, len(ids), plain.sha256(" ".join(map(str, ids)).encode()), plain.sha256((text or "").encode())))
+    assert found == sorted(expected, key=str)
+    assert bpe.token_digests(empty(documents), path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_fold_without_dictionary(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "DICTIONARY_WORDS", 2)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    frame = spark.createDataFrame([(1, BASE), (2, NEAR)], DDL)
+    for r in bpe.encode_documents(frame, path, public_tokenizers.PATTERN, ("doc_id", "text")).collect():
+        assert r.ids == " ".join(map(str, library.encode_ordinary(r.text)))
+
+
+# -- 9
+
+
+def test_licence_cases(spark):
+    rows = [
+        (1, "text\nReleased under the MIT License."), (2, "Licensed under the Apache License, Version 2.0.\n" + prose(50)), (3, None), (4, ""),
+        (5, prose(80)), (6, "This work is licensed under the Acme Community License."), (7, "Licensed under CC BY-SA 4.0.\nLicensed under CC BY 4.0."),
+        (1, "text\nReleased under the MIT License."), (None, "GNU GENERAL PUBLIC LICENSE version 2"), (8, LONG), (9, "the mit campus and a driving licence"),
+    ] + [(100 + i, "\n".join(prose(12) for _ in range(8))) for i in range(60)]
+    frame = spark.createDataFrame(rows, DDL).selectExpr("*", "1 AS licences", "2 AS text_id", "3 AS place")
+    found = licenses.scan(frame).collect()
+    assert len(found) == len(rows)
+    by_id = {r.doc_id: r for r in found}
+    expected = {1: ["mit"], 2: ["apache-2.0"], 3: [], 4: [], 5: [], 6: [], 8: [], 9: [], None: ["gpl-2.0"]}
+    assert {i: by_id[i].licences for i in expected} == expected
+    assert by_id[6].unknown_paragraphs == 1 and "cc-by-sa-4.0" in by_id[7].licences
+    assert not any(by_id[100 + i].licence_paragraphs for i in range(60))
+    assert licenses.scan(frame.where("false")).count() == 0
+
+
+# -- 10
+
+
+def test_suffix_cases(documents, clashing, monkeypatch):
+    expected = sorted([(i, *e[:3], hashlib.sha256(e[3]).hexdigest()) for (i, _), e in zip(ROWS, plain.cut([t for _, t in ROWS]))], key=str)
+    assert sum(e[2] for e in expected)
+    found = suffixes.remove_repeats(documents).collect()
+    assert sorted([tuple(r) for r in found], key=str) == expected
+    monkeypatch.setattr("tallybrook.llm.suffixes.CHUNK", 1 << 10)  # texts over many chunks
+    found = suffixes.remove_repeats(documents.where("doc_id IS NULL OR doc_id NOT IN (11, 12)")).collect()
+    some = [(i, t) for i, t in ROWS if i not in (11, 12)]
+    assert sorted([tuple(r) for r in found], key=str) == sorted(
+        [(i, *e[:3], hashlib.sha256(e[3]).hexdigest()) for (i, _), e in zip(some, plain.cut([t for _, t in some]))], key=str
+    )
+    left = suffixes.without_repeats(clashing)
+    assert same_columns(left, clashing) and left.count() == len(ROWS)
+    assert suffixes.remove_repeats(empty(documents)).count() == 0
+
+
+def test_partial_repeats(spark):
+    pick, rows = random.Random(11), []
+    pool = [prose(150) for _ in range(6)]
+    for i in range(60):
+        parts = []
+        for _ in range(pick.randrange(1, 6)):
+            source = pick.choice(pool)
+            a, b = sorted(pick.randrange(len(source)) for _ in range(2))
+            parts.append(source[a:b] if pick.random() < 0.7 else prose(pick.randrange(60)))
+        rows.append((i, "".join(parts)))
+    found = sorted(suffixes.remove_repeats(spark.createDataFrame(rows, DDL).repartition(4)).collect())
+    assert [tuple(r) for r in found] == [
+        (i, *e[:3], hashlib.sha256(e[3]).hexdigest()) for (i, _), e in zip(rows, plain.cut([t for _, t in rows]))
+    ]
+
+
+def test_multikey_order():
+    pick = np.random.default_rng(2)
+    keys = [pick.integers(0, 3, 30_000), pick.integers(-5, 5, 30_000), np.arange(30_000)[::-1].copy()]
+    assert (suffixes.multikey_order(keys) == np.lexsort(keys[::-1])).all()
