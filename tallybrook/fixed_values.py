@@ -23,6 +23,11 @@ RECORD_FIELDS = (
 INT32_MIN = -2147483648
 INT32_MAX = 2147483647
 
+# Epoch seconds that a record may carry: years 1 to 9999, what every store of timestamps can hold.
+EPOCH_MIN = -62135596800
+EPOCH_MAX = 253402300799
+EPOCH_FIELDS = ("creation_date", "last_activity_date", "closed_date")
+
 # Engagement labels and thresholds.
 HIGH_ENGAGEMENT = "HIGH_ENGAGEMENT"
 POSITIVE = "POSITIVE"
@@ -33,7 +38,7 @@ HIGH_VIEWS = 1000
 HIGH_ANSWERS = 5
 POSITIVE_SCORE = 5
 
-# Dead-letter reasons. The last three are this engine's own additions.
+# Dead-letter reasons. The last four are this engine's own additions.
 AVRO_ENCODE_FAILED = "avro_encode_failed"
 PUBLISH_SCHEMA_REJECTED = "publish_schema_rejected"
 PUBLISH_FAILED = "publish_failed"
@@ -41,6 +46,7 @@ MANUAL_BAD_MESSAGE = "manual_bad_message"
 NORMALIZE_FAILED = "normalize_failed"
 DECODE_FAILED = "decode_failed"
 CONTRACT_FAILED = "contract_failed"
+PAGE_MALFORMED = "page_malformed"
 
 # Lower-cased error texts that mean "the topic rejected the schema": any group whose words all occur.
 SCHEMA_REJECTION_WORDS = (

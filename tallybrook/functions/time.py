@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallybrook import fixed_values as fv
+
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 SECONDS_PER_HOUR = 3600
 
@@ -18,6 +20,11 @@ def epoch_ts(seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, F.expr(_EPOCH))
 
 
+def in_epoch_range(seconds: Column) -> Column:
+    """The seconds where a timestamp can hold them, else null."""
+    return F.when(seconds.between(fv.EPOCH_MIN, fv.EPOCH_MAX), seconds)
+
+
 def epoch_date(seconds: Column) -> Column:
     """Epoch seconds as a UTC date."""
     return epoch_ts(seconds).cast("date")

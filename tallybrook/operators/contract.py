@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybrook import fixed_values as fv
 from tallybrook.operators.once import with_columns_once
@@ -24,20 +25,25 @@ def issue_list(checks: Sequence[tuple[Column, str]]) -> Column:
     return F.when(failed, names).otherwise(F.expr(_NO_ISSUES))
 
 
+def _outside(name: str, least: int, most: int) -> Column:
+    return F.coalesce(~F.col(name).between(least, most), F.lit(False))
+
+
 def check_contract(
     df: DataFrame,
     contract: Sequence[Field] = CONTRACT,
     found_earlier: Sequence[str] = ("normalize_issues", "type_issues"),
 ) -> DataFrame:
-    """Add ``violations``: required fields that are null, 32-bit fields out of range, and whatever
-    the parsing step already listed in the ``found_earlier`` columns."""
+    """Add ``violations``: required fields that are null, 32-bit and epoch fields out of range, and
+    whatever the parsing step already listed in the ``found_earlier`` columns."""
     checks = []
     for field in contract:
         if field.required:
             checks.append((F.col(field.name).isNull(), f"{field.name}:missing"))
         if field.int32:
-            outside = ~F.col(field.name).between(fv.INT32_MIN, fv.INT32_MAX)
-            checks.append((F.coalesce(outside, F.lit(False)), f"{field.name}:out_of_range"))
+            checks.append((_outside(field.name, fv.INT32_MIN, fv.INT32_MAX), f"{field.name}:out_of_range"))
+        if field.name in fv.EPOCH_FIELDS:
+            checks.append((_outside(field.name, fv.EPOCH_MIN, fv.EPOCH_MAX), f"{field.name}:out_of_range"))
     earlier = [F.coalesce(F.col(c), F.expr(_NO_ISSUES)) for c in found_earlier if c in df.columns]
     violations = issue_list(checks)
     if earlier:
@@ -100,6 +106,13 @@ def with_route(df: DataFrame) -> DataFrame:
     )
 
 
+def _as_text(df: DataFrame, name: str) -> Column:
+    if name not in df.columns:
+        return F.lit(None).cast("string")
+    variant = isinstance(df.schema[name].dataType, T.VariantType)
+    return F.to_json(name) if variant else F.col(name).cast("string")
+
+
 def to_dead_letter(
     df: DataFrame,
     reason: Column,
@@ -108,7 +121,9 @@ def to_dead_letter(
     tag: str,
     record: Sequence[str] = RECORD_COLUMNS,
 ) -> DataFrame:
-    """``reason, error, record, payload, attributes``; the payload is the JSON body, nulls kept."""
+    """``reason, error, record, payload, original, message_id, attributes``; the payload is the JSON
+    body, nulls kept. ``original`` is the input as it came (message body or item), as far as the frame
+    carries one, so that a letter can be repaired and sent again."""
     keep_nulls = {"ignoreNullFields": "false"}
     body = F.struct(*record)
     return df.select(
@@ -118,6 +133,8 @@ def to_dead_letter(
         F.to_json(
             F.struct(reason.alias("reason"), error.alias("error"), body.alias("record")), keep_nulls
         ).alias("payload"),
+        _as_text(df, "original").alias("original"),
+        _as_text(df, "message_id").alias("message_id"),
         F.create_map(
             F.lit("reason"), reason,
             F.lit("source_topic"), F.lit(source),

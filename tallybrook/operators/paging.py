@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallybrook import fixed_values as fv
 from tallybrook.session import shared_dir
 
-# Up to here each task keeps a heap of the best rows and one task merges them.
-HEAP_ROWS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row number in the low 33 bits
 
 
@@ -21,48 +21,77 @@ def paged_top_n(
     page_size: int = fv.DEFAULT_PAGE_SIZE,
     total: int | None = None,
     start_page: int = 1,
-    max_pages: int = fv.DEFAULT_MAX_PAGES,
+    max_pages: int | None = fv.DEFAULT_MAX_PAGES,
     tiebreak: Sequence[str] = (),
-    heap_rows: int = HEAP_ROWS,
 ) -> DataFrame:
-    """Newest first, from the 1-based ``start_page`` on, cut at ``total`` rows or ``max_pages`` pages."""
-    total = page_size if total is None else total
-    if total <= 0:
+    """Newest first, from the 1-based ``start_page`` on, cut at ``total`` rows and ``max_pages`` pages;
+    None for either means no cut by it. Nulls come last.
+
+    One plan for pages of any depth and size. Only the order keys and a hash of the row are sorted,
+    over all tasks, and written to the shared folder; the keys of the page's first and last row then
+    filter the rows themselves, so no task gets more than its share and wide columns never move.
+    """
+    if total is not None and total <= 0:
         return df.limit(0)
     if page_size <= 0:
         raise ValueError("page_size must be > 0")
-    skip = (start_page - 1) * page_size
-    take = min(total, page_size * max_pages)
-    order = [F.col(c).desc_nulls_last() for c in (order_col, *tiebreak)]
-    if skip + take <= heap_rows:
-        return df.orderBy(*order).limit(skip + take).offset(skip)
-    return _slice_sorted(df, order, skip, take)
+    limits = [n for n in (total, None if max_pages is None else page_size * max_pages) if n is not None]
+    take, skip = min(limits, default=None), (start_page - 1) * page_size
+    if take is not None and take <= 0:
+        return df.limit(0)
+    if take is None and skip == 0:
+        return df
+    key = F.struct(*[F.col(c) for c in (order_col, *tiebreak)], _row_hash(df).alias("_hash"))
+    bounds = _bounds(df.select(key.alias("_key")), skip, take)
+    if bounds is None:
+        return df.limit(0)
+    (first, n_first), (last, n_last) = bounds
+    keyed = df.withColumn("_key", key)
+    # Rows equal in key and hash are alike: any of them will do, but not more of them than the page has.
+    parts = [keyed.filter((F.col("_key") < first) & (F.col("_key") > last)), keyed.filter(F.col("_key") == first).limit(n_first)]
+    if n_last:
+        parts.append(keyed.filter(F.col("_key") == last).limit(n_last))
+    return reduce(DataFrame.unionAll, parts).drop("_key")
+
 
+def _row_hash(df: DataFrame) -> Column:
+    def hashable(field: T.StructField) -> Column:
+        name = F.col(f"`{field.name}`")
+        return F.to_json(name) if isinstance(field.dataType, T.VariantType) else name
 
-def _slice_sorted(df: DataFrame, order: Sequence[Column], skip: int, take: int) -> DataFrame:
-    """Rows ``skip`` .. ``skip + take`` of the sorted frame, with no task holding them all.
+    return F.xxhash64(*[hashable(f) for f in df.schema if not isinstance(f.dataType, T.MapType)])
 
-    The range-sorted frame is checkpointed so partition numbers and row positions stay put; a row's
-    rank is its position plus the rows in earlier partitions. Only the partition counts (one row per
-    partition) meet in one task and are broadcast.
+
+def _bounds(keys: DataFrame, skip: int, take: int | None) -> tuple[tuple[Column, int], tuple[Column, int]] | None:
+    """(key, rows with it on the page) of the first and the last row of the page, as literals; the
+    second count is 0 if both are one key. None if the page is empty.
+
+    Struct order is that of its fields, nulls least, so descending is newest first, nulls last. The
+    sorted keys are checkpointed so that positions stay put; a key's rank is its position plus the rows
+    in earlier partitions, one number for each.
     """
-    shared_dir(df.sparkSession)  # names a checkpoint folder when the session has none
+    shared_dir(keys.sparkSession)  # names a checkpoint folder when the session has none
+    placed = keys.orderBy(F.desc("_key")).checkpoint()
     position = F.monotonically_increasing_id()
-    placed = (
-        df.orderBy(*order)
-        .checkpoint()
-        .withColumn("_part", F.shiftright(position, _ROW_BITS))
-        .withColumn("_row", position.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    placed = placed.select(
+        "_key", F.shiftright(position, _ROW_BITS).alias("_part"), position.bitwiseAND(F.lit((1 << _ROW_BITS) - 1)).alias("_row")
     )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy("_part")
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    )
-    rank = F.col("_start") + F.col("_row")
-    return (
-        placed.join(F.broadcast(starts), "_part")
-        .filter((rank >= skip) & (rank < skip + take))
-        .drop("_part", "_row", "_start")
+    starts = placed.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")
     )
+    ranked = placed.join(F.broadcast(starts), "_part").select("_key", (F.col("_start") + F.col("_row")).alias("_rank"))
+    page = ranked.filter(F.col("_rank") >= skip)
+    if take is not None:
+        page = page.filter(F.col("_rank") < skip + take)
+    ends = page.agg(F.max("_key").alias("first"), F.min("_key").alias("last")).first()
+    if ends["first"] is None:
+        return None
+    kind = keys.schema["_key"].dataType
+
+    def literal(row) -> Column:
+        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields])
+
+    first, last = literal(ends["first"]), literal(ends["last"])
+    same = page.agg(F.count_if(F.col("_key") == first).alias("first"), F.count_if(F.col("_key") == last).alias("last")).first()
+    return (first, same["first"]), (last, 0 if ends["first"] == ends["last"] else same["last"])

@@ -18,7 +18,6 @@ RESULT_COLUMNS = (
 )
 
 
-LONG_TEXT = 64  # characters; a SHA-256 in hex is as long
 
 
 @dataclass(frozen=True)
@@ -249,8 +248,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
     Whole-number columns share one scan and one shuffle of (column, value) counts, all others
     another, each reading only its columns. Counts are combined in each task first, so frequent
-    values and nulls cost one row per task. A long text is counted under the SHA-256 of the whole of
-    it: texts are compared in full but not shuffled.
+    values and nulls cost one row per task. Every text is counted under the SHA-256 of the whole of
+    it: texts are compared in full but not shuffled, and no text can pass for another's hash.
     """
     columns = list(columns or df.columns)
     whole = [c for c in columns if isinstance(df.schema[c].dataType, T.IntegralType)]
@@ -260,7 +259,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         text = F.col(column).cast("string")
         if not isinstance(df.schema[column].dataType, T.StringType):
             return text
-        return F.when(F.length(text) > LONG_TEXT, F.sha2(text, 256)).otherwise(text)
+        return F.sha2(text, 256)
 
     parts = []
     if whole:

@@ -14,25 +14,33 @@ from tallybrook.operators.load import read_table
 from tallybrook.operators.paging import paged_top_n
 from tallybrook.plans import models, suites
 from tallybrook.sources import lake
-from tallybrook.sources.items import item_field, item_tags, normalize_items, read_item_pages
+from tallybrook.sources.items import (
+    item_field,
+    item_tags,
+    items_of,
+    malformed_pages,
+    normalize_items,
+    read_pages,
+)
 
 
 @dataclass(frozen=True)
 class PageRequest:
-    """Which items of the landed pages to take; no tag and no total mean all of them."""
+    """Which items of the landed pages to take. No tag means any; no total and no ``max_pages`` mean
+    all from ``start_page`` on."""
 
     tag: str | None = None
     page_size: int = fv.DEFAULT_PAGE_SIZE
     total: int | None = None
     start_page: int = 1
-    max_pages: int = fv.DEFAULT_MAX_PAGES
+    max_pages: int | None = None
 
 
 def requested_items(items: DataFrame, request: PageRequest) -> DataFrame:
     """Items of one tag, newest first, cut to the requested pages."""
     if request.tag is not None:
         items = items.filter(F.array_contains(item_tags(), request.tag))
-    if request.total is None:
+    if request.total is None and request.max_pages is None and request.start_page == 1:
         return items
     keyed = items.select(
         "item",
@@ -40,9 +48,10 @@ def requested_items(items: DataFrame, request: PageRequest) -> DataFrame:
         item_field("question_id", "bigint").alias("_id"),
         item_field("link", "string").alias("_link"),
     )
+    max_pages = fv.DEFAULT_MAX_PAGES if request.max_pages is None and request.total is not None else request.max_pages
     taken = paged_top_n(
         keyed, "_created", request.page_size, request.total, request.start_page,
-        request.max_pages, tiebreak=("_id", "_link"),
+        max_pages, tiebreak=("_id", "_link"),
     )
     return taken.select("item")
 
@@ -53,28 +62,43 @@ def ingest_pages(
     lake_dir: str,
     source: str,
     request: PageRequest = PageRequest(),
-    batch_id: int = 0,
+    run: str | None = None,
     add_bad_record: bool = False,
+    multi_line: bool = False,
 ) -> dict[tuple[str, str | None], int]:
-    """Read landed pages, check every record, write good ones to the lake and the rest to dead
-    letters. Returns the number of records per route and reason; a rerun of a batch replaces it."""
-    records = normalize_items(requested_items(read_item_pages(spark, pages), request))
+    """Read landed pages, check every record, write good ones to the lake and the rest, unreadable
+    pages among them, to dead letters. Returns the number of rows per route and reason.
+
+    The rows are written under a run name that follows from pages, source and tag: a rerun replaces
+    its own rows, another source adds to the lake. A ``run`` of one's own is refused if it stands for
+    another origin already.
+    """
+    origin = "\n".join((source, pages, request.tag or ""))
+    run = lake.run_of(origin) if run is None else run
+    lake.claim_run(spark, lake_dir, run, origin)
+    landed = read_pages(spark, pages, multi_line).persist(StorageLevel.MEMORY_AND_DISK)
+    records = normalize_items(requested_items(items_of(landed), request))
     if add_bad_record:
         records = contract.with_bad_record(records)
     routed = contract.with_route(contract.check_contract(records))
+    routed = routed.withColumn("original", F.when(F.col("route") == "dead_letter", F.col("original")))
     placed = lake.with_hour_partitions(lake.with_event_time(routed))
     kept = lake.spread_by_hour(placed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         counts = {(r.route, r.reason): r.n_records for r in contract.route_counts(kept).collect()}
         good = kept.filter("route = 'ok'")
-        lake.write_raw(good, f"{lake_dir}/raw", batch_id)
-        lake.write_processed(good, f"{lake_dir}/processed", batch_id)
+        lake.write_raw(good, f"{lake_dir}/raw", run)
+        lake.write_processed(good, f"{lake_dir}/processed", run)
         letters = contract.to_dead_letter(
             kept.filter("route = 'dead_letter'"), F.col("reason"), F.col("error"), source, request.tag or ""
         )
-        lake.write_dead_letters(letters, f"{lake_dir}/dead_letters", batch_id)
+        broken = malformed_pages(landed, source, request.tag or "")
+        if n_broken := broken.count():
+            counts[("dead_letter", fv.PAGE_MALFORMED)] = n_broken
+        lake.write_dead_letters(letters.unionByName(broken), f"{lake_dir}/dead_letters", run)
     finally:
         kept.unpersist()
+        landed.unpersist()
     return counts
 
 

@@ -66,6 +66,23 @@ def paged(spark, sf_dir):
     )
 
 
+@query(
+    "paged_deep",
+    sql.on_versions(
+        "SELECT creation_date, question_id, link FROM versions "
+        "ORDER BY creation_date DESC NULLS LAST, question_id DESC NULLS LAST, link DESC LIMIT 1000 OFFSET 400"
+    ),
+)
+def paged_deep(spark, sf_dir):
+    """Pages 3 to 7 of 200 over every item, no total."""
+    every = _items(spark, sf_dir).select(
+        item_field("creation_date", "bigint").alias("creation_date"),
+        item_field("question_id", "bigint").alias("question_id"),
+        item_field("link", "string").alias("link"),
+    )
+    return paged_top_n(every, "creation_date", page_size=200, start_page=3, max_pages=5, tiebreak=("question_id", "link"))
+
+
 @query("normalize_items", sql.on_records(f"SELECT {sql.RECORD}, issues FROM records"))
 def normalized(spark, sf_dir):
     return normalize_items(_items(spark, sf_dir)).select(
@@ -92,10 +109,8 @@ def contract_check(spark, sf_dir):
     sql.on_records("SELECT link, CASE WHEN missing = '' THEN 'valid' ELSE 'dead' END AS side FROM records"),
 )
 def dead_letter_split(spark, sf_dir):
-    valid, dead = c.split_contract(_checked(spark, sf_dir))
-    return valid.select("link", F.lit("valid").alias("side")).unionByName(
-        dead.select("link", F.lit("dead").alias("side"))
-    )
+    routed = c.with_route(_checked(spark, sf_dir))
+    return routed.select("link", F.when(F.col("route") == "ok", "valid").otherwise("dead").alias("side"))
 
 
 @query(

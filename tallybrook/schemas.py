@@ -24,11 +24,12 @@ RECORD_DDL = ", ".join(f"{f.name} {f.type}" for f in CONTRACT)
 
 # Hour columns stay strings, so month=01 reads back as '01' whatever the session infers.
 LAKE_DDL = (
-    RECORD_DDL + ", " + ", ".join(f"{c} string" for c in fv.HOUR_COLUMNS) + ", batch_id bigint"
+    RECORD_DDL + ", run string, batch_id bigint, " + ", ".join(f"{c} string" for c in fv.HOUR_COLUMNS)
 )
 DEAD_LETTER_DDL = (
-    "reason string, error string, record string, attributes map<string,string>, batch_id bigint"
+    "reason string, error string, record string, original string, message_id string, "
+    "attributes map<string,string>, run string, batch_id bigint"
 )
 MANIFEST_DDL = "folder string, loaded_at timestamp, batch_id bigint"
-PAGE_DDL = "items array<variant>"
+TABLE_DDL = f"{RECORD_DDL}, run string, batch_id bigint"
 ENVELOPE_DDL = "message struct<data: string, messageId: string>"

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook import fixed_values as fv
-from tallybrook.operators.contract import check_contract, is_valid
+from tallybrook.operators.contract import check_contract, is_valid, issue_list
 from tallybrook.operators.latest import latest_by_key
 from tallybrook.operators.once import with_columns_once, with_struct_columns
-from tallybrook.schemas import ENVELOPE_DDL, RECORD_COLUMNS, RECORD_DDL
+from tallybrook.schemas import CONTRACT, ENVELOPE_DDL, RECORD_COLUMNS
 
 ACK_NO_MESSAGE, ACK_NO_DATA = "ack_no_message", "ack_no_data"
 FAILED, DEAD, STORED = "failed", "dead", "stored"
@@ -17,18 +17,24 @@ OUTCOMES = (ACK_NO_MESSAGE, ACK_NO_DATA, FAILED, DEAD, STORED)
 
 
 def parse_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add ``has_message``, ``raw_message_id``, ``has_data`` and ``payload`` (null if not base64)."""
+    """Add ``has_message``, ``raw_message_id``, ``has_data``, ``payload`` (null if not base64 of UTF-8)
+    and ``payload_error``, which says why it is null."""
     opened = with_struct_columns(df, F.from_json(value_col, ENVELOPE_DDL))
     data = F.col("message.data")
+    opened = with_columns_once(opened, {"_bytes": F.try_to_binary(data, F.lit("base64"))})
+    sound = F.is_valid_utf8(F.col("_bytes").cast("string"))
     return with_columns_once(
         opened,
         {
             "has_message": F.col("message").isNotNull(),
             "raw_message_id": F.col("message.messageId"),
             "has_data": F.coalesce(data != "", F.lit(False)),
-            "payload": F.try_to_binary(data, F.lit("base64")).cast("string"),
+            "payload": F.when(sound, F.col("_bytes").cast("string")),
+            "payload_error": F.when(F.col("_bytes").isNull(), "payload is not base64").when(
+                ~sound, "payload is not UTF-8"
+            ),
         },
-    ).drop("message")
+    ).drop("message", "_bytes")
 
 
 def with_message_id(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -43,13 +49,12 @@ def parse_records(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Add the record's columns and ``type_issues`` from its JSON text.
 
     The typed parse refuses values of another JSON type and reports the row as corrupt. Only such
-    rows are parsed again, as text, to name the fields that have a value the typed parse lost.
+    rows are parsed again, as text, to name the fields that have a value the typed parse lost. A text
+    field would take any JSON value as its text, so those are parsed as VARIANT and keep their type.
     """
-    typed = F.from_json(
-        payload_col,
-        f"{RECORD_DDL}, _corrupt string",
-        {"columnNameOfCorruptRecord": "_corrupt"},
-    )
+    texts = [f.name for f in CONTRACT if f.type == "string"]
+    ddl = ", ".join(f"{f.name} {'variant' if f.name in texts else f.type}" for f in CONTRACT)
+    typed = F.from_json(payload_col, f"{ddl}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
     names = F.array(*[F.lit(name) for name in RECORD_COLUMNS])
     understood = F.array_compact(
         F.array(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in RECORD_COLUMNS])
@@ -60,10 +65,18 @@ def parse_records(df: DataFrame, payload_col: str = "payload") -> DataFrame:
     issues = F.transform(lost, lambda name: F.concat(name, F.lit(":wrong_type")))
     malformed = F.array(F.lit("record:malformed"))
     none = F.expr("cast(array() as array<string>)")
-    found = F.when(F.col("_corrupt").isNull(), none).otherwise(
-        F.coalesce(F.nullif(issues, none), malformed)
+    not_text = issue_list([(_not_text(name), f"{name}:wrong_type") for name in texts])
+    found = F.when(F.col("_corrupt").isNull(), not_text).otherwise(
+        F.coalesce(F.nullif(F.array_union(issues, not_text), none), malformed)
     )
-    return with_columns_once(with_struct_columns(df, typed), {"type_issues": found}).drop("_corrupt")
+    parsed = with_columns_once(with_struct_columns(df, typed), {"type_issues": found}).drop("_corrupt")
+    return parsed.withColumns({name: F.when(~_not_text(name), F.try_variant_get(name, "$", "string")) for name in texts})
+
+
+def _not_text(name: str) -> Column:
+    value = F.col(name)
+    other = ~F.is_variant_null(value) & (F.schema_of_variant(value) != "STRING")
+    return F.coalesce(other, F.lit(False))
 
 
 def classify_delivery(df: DataFrame) -> DataFrame:
@@ -79,11 +92,12 @@ def classify_delivery(df: DataFrame) -> DataFrame:
 
 
 def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Envelope text to record columns, ``message_id``, ``violations`` and ``outcome``.
+    """Envelope text to record columns, ``message_id``, ``violations`` and ``outcome``; the envelope
+    itself stays as ``original``.
 
     The same expressions serve batch and streaming frames.
     """
-    parsed = with_message_id(parse_envelope(df, value_col), value_col).drop(value_col)
+    parsed = with_message_id(parse_envelope(df, value_col), value_col).withColumnRenamed(value_col, "original")
     return classify_delivery(check_contract(parse_records(parsed)))
 
 

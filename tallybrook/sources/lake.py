@@ -1,30 +1,60 @@
 """Lake layout: event-time hour folders with raw JSON and processed parquet.
 
-``<root>/year=Y/month=MM/day=DD/hour=HH/batch_id=N/part-*``; a rerun of a batch replaces its own folders.
+``<root>/run=R/batch_id=N/year=Y/month=MM/day=DD/hour=HH/part-*``. A run is one source read by one
+job or one stream checkpoint, so no run can touch another's rows; within a run a repeated batch
+replaces its own folder as a whole. The batch is the outermost folder that is written: one commit,
+no work for each hour folder on the driver, and filters on the hour still prune.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook import fixed_values as fv
-from tallybrook.functions.time import epoch_ts, now_seconds
+from tallybrook.functions.time import epoch_ts, in_epoch_range, now_seconds
 from tallybrook.schemas import CONTRACT, LAKE_DDL, RECORD_COLUMNS, RECORD_DDL
 
-LAKE_PARTITIONS = (*fv.HOUR_COLUMNS, "batch_id")
+_RUN_NAME = re.compile(r"[A-Za-z0-9_.-]+")
+
+
+def run_of(*origin: str) -> str:
+    """A run name that follows from where the rows come from: the same origin, the same name."""
+    return hashlib.sha256("\n".join(origin).encode()).hexdigest()[:24]
+
+
+def claim_run(spark: SparkSession, lake_dir: str, run: str, origin: str) -> None:
+    """Record which origin a run name stands for; refuse a name that stands for another one."""
+    if not _RUN_NAME.fullmatch(run):
+        raise ValueError(f"a run name is letters, digits, '_', '.' and '-': {run!r}")
+    path = f"{lake_dir}/_runs/{run}"
+    try:
+        known = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    if known is None:
+        spark.range(1).select(F.lit(origin).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    elif known.value.rstrip("\n") != origin:
+        raise ValueError(f"run {run!r} holds rows of {known.value.strip()!r}, not of {origin!r}")
 
 
 def with_event_time(
     df: DataFrame, field: str = "creation_date", fallback: Column | None = None
 ) -> DataFrame:
-    """Add ``event_time`` from an epoch field; absent, null or non-numeric means ``fallback``
-    (epoch seconds, by default the processing time)."""
+    """Add ``event_time`` from an epoch field; absent, null, non-numeric or beyond what a timestamp
+    holds means ``fallback`` (epoch seconds, by default the processing time), so that one bad record
+    never ends a run."""
     fallback = now_seconds() if fallback is None else fallback
     seconds = fallback
     if field in df.columns and isinstance(df.schema[field].dataType, T.NumericType):
-        seconds = F.coalesce(F.col(field).cast("bigint"), fallback)
+        seconds = F.coalesce(in_epoch_range(F.col(field).cast("bigint")), fallback)
     return df.withColumn("event_time", epoch_ts(seconds))
 
 
@@ -63,36 +93,34 @@ def spread_by_hour(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", *fv.HOUR_COLUMNS)
 
 
-def _lake_rows(df: DataFrame, batch_id: int) -> DataFrame:
-    stored = [F.col(f.name).cast(f.type).alias(f.name) for f in CONTRACT]
-    return df.select(*stored, *fv.HOUR_COLUMNS, F.lit(batch_id).cast("bigint").alias("batch_id"))
+def batch_path(path: str, run: str, batch_id: int) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
 
 
-def _replace_batch(df: DataFrame, partitions: tuple[str, ...]):
+def _lake_writer(df: DataFrame):
+    stored = [F.col(f.name).cast(f.type).alias(f.name) for f in CONTRACT]
+    # Static even where a session asks for dynamic overwrite: the whole batch folder is replaced.
     return (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        df.select(*stored, *fv.HOUR_COLUMNS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*fv.HOUR_COLUMNS)
     )
 
 
-def write_raw(df: DataFrame, path: str, batch_id: int = 0) -> None:
+def write_raw(df: DataFrame, path: str, run: str, batch_id: int = 0) -> None:
     """One JSON line per record, nulls kept, non-ASCII as is."""
-    writer = _replace_batch(_lake_rows(df, batch_id), LAKE_PARTITIONS)
-    writer.option("ignoreNullFields", "false").json(path)
+    _lake_writer(df).option("ignoreNullFields", "false").json(batch_path(path, run, batch_id))
 
 
-def write_processed(df: DataFrame, path: str, batch_id: int = 0) -> None:
+def write_processed(df: DataFrame, path: str, run: str, batch_id: int = 0) -> None:
     """Snappy parquet with the stored types."""
-    writer = _replace_batch(_lake_rows(df, batch_id), LAKE_PARTITIONS)
-    writer.option("compression", "snappy").parquet(path)
+    _lake_writer(df).option("compression", "snappy").parquet(batch_path(path, run, batch_id))
 
 
-def write_dead_letters(df: DataFrame, path: str, batch_id: int = 0) -> None:
-    rows = df.select(
-        "reason", "error", "record", "attributes", F.lit(batch_id).cast("bigint").alias("batch_id")
-    )
-    _replace_batch(rows, ("batch_id",)).option("ignoreNullFields", "false").json(path)
+def write_dead_letters(df: DataFrame, path: str, run: str, batch_id: int = 0) -> None:
+    rows = df.select("reason", "error", "record", "original", "message_id", "attributes")
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(batch_path(path, run, batch_id))
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -53,3 +53,29 @@ def test_requested_pages(spark, tmp_path):
     assert counts == {("ok", None): 4}
     ids = sorted(r.question_id for r in read_processed(spark, str(tmp_path / "lake/processed")).collect())
     assert ids == [3, 4, 5, 6]
+
+
+def test_broken_pages_are_told_of_and_sources_add_up(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    good = json.dumps({"items": [{**GOOD, "question_id": 1}]})
+    for name, lines, multi_line, broken in (
+        ("lines", [good, '{"items": [', '{"items":"oops"}', '{"other": 1}', "[1]", ""], False, 3),
+        ("whole", [json.dumps({"items": [{**GOOD, "question_id": 2}]}, indent=2)], True, 0),
+    ):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "1.json").write_text("\n".join(lines))
+        counts = ingest_pages(spark, str(tmp_path / name), lake, "topic", multi_line=multi_line)
+        assert counts == {("ok", None): 1, **({("dead_letter", "page_malformed"): broken} if broken else {})}
+    assert sorted(r.question_id for r in read_processed(spark, f"{lake}/processed").collect()) == [1, 2]
+    letters = {r.original: r.error for r in spark.read.json(f"{lake}/dead_letters").collect()}
+    assert letters == {'{"items": [': "page:not_json", '{"items":"oops"}': "items:not_a_list", "[1]": "page:not_an_object"}
+
+
+def test_letters_of_items_hold_the_item(spark, tmp_path):
+    (tmp_path / "pages").mkdir()
+    items = [{**GOOD, "creation_date": 10**15}, {**GOOD, "question_id": "five"}, GOOD]
+    (tmp_path / "pages" / "1.json").write_text(json.dumps({"items": items}))
+    counts = ingest_pages(spark, str(tmp_path / "pages"), str(tmp_path / "lake"), "topic")
+    assert counts[("ok", None)] == 1
+    letters = {r.error: json.loads(r.original) for r in spark.read.json(str(tmp_path / "lake" / "dead_letters")).collect()}
+    assert letters == {"creation_date:out_of_range; last_activity_date:out_of_range": items[0], "question_id:missing": items[1]}

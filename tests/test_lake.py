@@ -59,7 +59,7 @@ def test_event_time_fallbacks(spark):
 
 
 def test_raw_lines_keep_nulls_and_characters(spark, tmp_path):
-    lake.write_raw(placed(spark, {"title": "čaj"}), str(tmp_path / "raw"))
+    lake.write_raw(placed(spark, {"title": "čaj"}), str(tmp_path / "raw"), "r")
     files = [p for p in (tmp_path / "raw").rglob("*.json")]
     line = files[0].read_text(encoding="utf-8")
     assert "čaj" in line and json.loads(line)["closed_date"] is None
@@ -69,7 +69,7 @@ def test_raw_lines_keep_nulls_and_characters(spark, tmp_path):
 def test_rewriting_a_batch_replaces_it(spark, tmp_path):
     path = str(tmp_path / "processed")
     for batch_id in (0, 1, 1):
-        lake.write_processed(placed(spark, {"question_id": 1}, {"question_id": 2}), path, batch_id)
+        lake.write_processed(placed(spark, {"question_id": 1}, {"question_id": 2}), path, "r", batch_id)
     back = lake.read_processed(spark, path)
     assert back.count() == 4
     assert {r.hour for r in back.collect()} == {"00"}
@@ -90,7 +90,7 @@ def test_hot_hour_is_split(spark, tmp_path):
         spark.conf.set(key, value)
     try:
         hours = lake.with_hour_partitions(lake.with_event_time(rows))
-        lake.write_processed(lake.spread_by_hour(hours), path)
+        lake.write_processed(lake.spread_by_hour(hours), path, "r")
     finally:
         for key in settings:
             spark.conf.unset(key)
@@ -111,11 +111,11 @@ def test_folder_load_skips_loaded_hours_and_file_load_does_not(spark, tmp_path):
             sorted(r.question_id for r in load.read_table(spark, t).collect()) for t in (by_folder, by_file)
         ]
 
-    lake.write_processed(placed(spark, {"question_id": 1}, {"question_id": 2, "creation_date": 4000}), root, 0)
+    lake.write_processed(placed(spark, {"question_id": 1}, {"question_id": 2, "creation_date": 4000}), root, "r", 0)
     first = ["year=1970/month=01/day=01/hour=00", "year=1970/month=01/day=01/hour=01"]
     assert load_both() == (first, [[1, 2], [1, 2]])
     assert load_both() == ([], [[1, 2], [1, 2]])
-    lake.write_processed(placed(spark, {"question_id": 3}, {"question_id": 4, "creation_date": 8000}), root, 1)
+    lake.write_processed(placed(spark, {"question_id": 3}, {"question_id": 4, "creation_date": 8000}), root, "r", 1)
     assert load_both() == (["year=1970/month=01/day=01/hour=02"], [[1, 2, 4], [1, 2, 3, 4]])
     assert load.read_manifest(spark, manifest).count() == 3
 
@@ -135,9 +135,9 @@ def test_folders_in_the_other_layout(spark, tmp_path):
 
 def test_crash_before_the_manifest_is_repaired(spark, tmp_path):
     root, table, manifest = (str(tmp_path / n) for n in ("processed", "table", "manifest"))
-    lake.write_processed(placed(spark, {"question_id": 1}), root, 0)
+    lake.write_processed(placed(spark, {"question_id": 1}), root, "r", 0)
     # The data of batch 0 was written, the manifest was not.
-    load.replace_batch(lake.read_records(spark, root).withColumn("batch_id", F.lit(0).cast("bigint")), table)
+    load.replace_batch(lake.read_records(spark, root), table, load.FOLDER_RUN, 0)
     load.load_new_folders(spark, root, table, manifest)
     assert load.read_table(spark, table).count() == 1
 
@@ -148,12 +148,83 @@ def test_state_file_without_folders(spark, tmp_path):
     assert load.read_folder_list(spark, str(tmp_path / "old.json")).count() == 0
     assert load.read_folder_list(spark, str(tmp_path / "new.json")).count() == 2
     assert load.read_manifest(spark, str(tmp_path / "nowhere")).count() == 0
+    assert load.read_folder_list(spark, str(tmp_path / "nowhere.json")).count() == 0
 
 
-def test_namespace(spark):
-    load.ensure_namespace(spark, "tallybrook_test")
-    load.ensure_namespace(spark, "tallybrook_test")
-    assert spark.catalog.databaseExists("tallybrook_test")
+def test_folders_of_an_older_state_count_as_loaded(spark, tmp_path):
+    root, table, manifest = (str(tmp_path / n) for n in ("processed", "table", "manifest"))
+    lake.write_processed(placed(spark, {"question_id": 1}, {"question_id": 2, "creation_date": 4000}), root, "r")
+    known = sorted(r.folder for r in load.list_hour_folders(spark, root).collect())
+    (tmp_path / "state.json").write_text(json.dumps({"loaded_hour_folders": known[:1]}))
+    assert load.load_new_folders(spark, root, table, manifest, str(tmp_path / "state.json")) == known[1:]
+    assert [r.question_id for r in load.read_table(spark, table).collect()] == [2]
+
+
+def test_loaded_table_is_known_in_its_namespace(spark, tmp_path):
+    table = str(tmp_path / "table")
+    load.replace_batch(records(spark, {"question_id": 5}), table, "r", 0)
+    for _ in range(2):
+        load.register_table(spark, "tallybrook_test", "questions", table)
+    assert [r.question_id for r in spark.table("tallybrook_test.questions").collect()] == [5]
+
+
+def test_runs_and_streams_never_touch_each_other(spark, tmp_path):
+    lake_dir = str(tmp_path / "lake")
+    for name, question in (("a", 1), ("b", 2)):
+        source, checkpoint = str(tmp_path / f"source-{name}"), str(tmp_path / f"checkpoint-{name}")
+        land(source, "1", envelope({**RECORD, "question_id": question}, "m"))
+        ingest(read_messages(spark, source), lake_dir, checkpoint).awaitTermination()
+    lake.write_processed(placed(spark, {"question_id": 3}), f"{lake_dir}/processed", "batch")
+    lake.write_processed(placed(spark, {"question_id": 3}), f"{lake_dir}/processed", "batch")
+    assert sorted(r.question_id for r in lake.read_processed(spark, f"{lake_dir}/processed").collect()) == [1, 2, 3]
+    lake.claim_run(spark, lake_dir, "mine", "here")
+    lake.claim_run(spark, lake_dir, "mine", "here")
+    with pytest.raises(ValueError, match="not of 'there'"):
+        lake.claim_run(spark, lake_dir, "mine", "there")
+
+
+def test_old_files_are_read_too(spark, tmp_path):
+    source, root = str(tmp_path / "source"), str(tmp_path / "processed")
+    month_ago = dt.datetime.now().timestamp() - 30 * 86400
+
+    def ingest_all():
+        ingest(read_messages(spark, source), str(tmp_path / "lake"), str(tmp_path / "c1")).awaitTermination()
+        load_new_files(spark, root, str(tmp_path / "table"), str(tmp_path / "c2")).awaitTermination()
+
+    land(source, "1", envelope({**RECORD, "question_id": 1}, "m1"))
+    lake.write_processed(placed(spark, {"question_id": 1}), root, "r", 0)
+    ingest_all()
+    land(source, "2", envelope({**RECORD, "question_id": 2}, "m2"))
+    os.utime(os.path.join(source, "2"), (month_ago, month_ago))
+    lake.write_processed(placed(spark, {"question_id": 2}), root, "r", 1)
+    for path in (tmp_path / "processed" / "run=r" / "batch_id=1").rglob("*.parquet"):
+        os.utime(path, (month_ago, month_ago))
+    ingest_all()
+    for back in (lake.read_processed(spark, str(tmp_path / "lake" / "processed")), load.read_table(spark, str(tmp_path / "table"))):
+        assert sorted(r.question_id for r in back.collect()) == [1, 2]
+
+
+def test_one_bad_message_stays_one_bad_message(spark, tmp_path):
+    source, lake_dir, checkpoint = (str(tmp_path / n) for n in ("source", "lake", "checkpoint"))
+    bad = [
+        envelope({**RECORD, "creation_date": 10**15}, "far"), envelope({**RECORD, "creation_date": -(10**15)}, "past"),
+        envelope({**RECORD, "title": 7}, "number"), envelope({**RECORD, "title": {"a": 1}}, "object"), envelope({**RECORD, "link": True}, "flag"),
+        envelope({**RECORD, "content_license": 4}, "licence"), '{"message": {"data": "/w==", "messageId": "bytes"}}',
+    ]
+    land(source, "1", *bad, envelope(RECORD, "good"), envelope({**RECORD, "creation_date": -5}, "early"))
+    for _ in range(2):
+        ingest(read_messages(spark, source), lake_dir, checkpoint).awaitTermination()
+    assert sorted(r.creation_date for r in lake.read_processed(spark, f"{lake_dir}/processed").collect()) == [-5, 100]
+    letters = {r.message_id: r for r in spark.read.json(f"{lake_dir}/dead_letters").collect()}
+    assert {i: r.error for i, r in letters.items()} == {
+        "far": "creation_date:out_of_range", "past": "creation_date:out_of_range", "number": "title:wrong_type; title:missing",
+        "object": "title:wrong_type; title:missing", "flag": "link:wrong_type; link:missing", "licence": "content_license:wrong_type", "bytes": "payload is not UTF-8",
+    }
+    assert sorted(r.original for r in letters.values()) == sorted(bad)
+    # A letter can be repaired and sent again.
+    land(source, "2", envelope({**RECORD, "title": "seven"}, "number-repaired"))
+    ingest(read_messages(spark, source), lake_dir, checkpoint).awaitTermination()
+    assert "seven" in {r.title for r in lake.read_processed(spark, f"{lake_dir}/processed").collect()}
 
 
 def land(path, name, *lines):

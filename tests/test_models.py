@@ -142,18 +142,37 @@ def test_paging_edges(spark):
         page(df, page_size=0, total=5)
     assert len(page(df, page_size=10, total=99)) == 25
     assert len(page(df, page_size=3, total=20, max_pages=2)) == 6
-    assert len(page(df, page_size=4)) == 4
+    assert len(page(df, page_size=4)) == 25
+    assert len(page(df, page_size=4, max_pages=1)) == 4
+    assert len(page(df, page_size=4, start_page=3, max_pages=None)) == 17
     # In order: 19, 9, 18 | 8, 17, ...
     assert page(df, page_size=3, total=2, start_page=2) == [8, 17]
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.integers(1, 9), st.integers(1, 40), st.integers(1, 4), st.integers(1, 6))
-def test_paging_without_heap_is_the_same(spark, page_size, total, start_page, max_pages):
+def test_pages_in_order(spark, page_size, total, start_page, max_pages):
     df = spark.range(60).repartition(5).withColumn("t", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")))
     ordered = sorted(((1 if i % 3 == 0 else i), i) for i in range(60))[::-1]
     skip = (start_page - 1) * page_size
     want = [i for _, i in ordered[skip: skip + min(total, page_size * max_pages)]]
     kwargs = dict(page_size=page_size, total=total, start_page=start_page, max_pages=max_pages)
     assert page(df, **kwargs) == want
-    assert page(df, heap_rows=0, **kwargs) == want
+
+
+def test_pages_of_ties_and_equal_rows(spark):
+    rows = [(None, 1, "a")] * 3 + [(5, i % 2, "b" if i % 3 else None) for i in range(20)] + [(5, 1, "b")] * 4
+    df = spark.createDataFrame(rows, "t long, id long, x string").repartition(4)
+    for skip in range(0, 27, 4):
+        found = paged_top_n(df, "t", page_size=4, total=4, start_page=skip // 4 + 1, tiebreak=("id",))
+        ids = sorted([(-1 if t is None else t, i) for t, i, _ in rows], reverse=True)[skip : skip + 4]
+        assert sorted([(-1 if r.t is None else r.t, r.id) for r in found.collect()], reverse=True) == ids
+    whole = [r for n in range(1, 8) for r in paged_top_n(df, "t", page_size=4, total=4, start_page=n, tiebreak=("id",)).collect()]
+    assert sorted(map(str, map(tuple, whole))) == sorted(map(str, rows))
+
+
+def test_paging_moves_keys_only(spark):
+    wide = spark.range(100).withColumns({"t": F.col("id") % 7, "text": F.repeat(F.lit("wide"), 1000)})
+    found = paged_top_n(wide, "t", page_size=10, total=10, start_page=2, tiebreak=("id",))
+    assert "TakeOrderedAndProject" not in plan(found) and "Sort" not in plan(found)
+    assert found.count() == 10

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallybrook.operators import quality as dq
@@ -98,6 +99,13 @@ def test_schema_drift(spark):
     assert sorted(dq.schema_drift(frame, expected)) == [("a", "now int"), ("c", "missing"), ("d", "unexpected")]
 
 
+def test_profile_tells_a_text_from_its_hash(spark):
+    text = "x" * 100
+    hashed = spark.range(1).select(F.sha2(F.lit(text), 256)).first()[0]
+    row = dq.profile(spark.createDataFrame([(text,), (hashed,)], "t string")).first()
+    assert (row.distinct_count, row.duplicate_rows) == (2, 0)
+
+
 def test_profile_compares_whole_texts(spark):
     long = "x" * 5000
     frame = spark.createDataFrame([(long + "a",), (long + "b",), (long + "a",), (None,)], "t string")
