@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
@@ -213,8 +214,12 @@ def run_model_tests(df: DataFrame, model: str, tests: Sequence[Rule]) -> DataFra
 
 
 def write_results(results: DataFrame, path: str, at: datetime | None = None) -> str:
-    """Append the results as JSON under a UTC run stamp, which is returned."""
-    stamp = (at or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%SZ")
+    """Append the results as JSON under a UTC run stamp, which is returned. A stamp made here is no
+    other run's; ``at`` gives a stamp of one's own."""
+    if at is not None:
+        stamp = at.strftime("%Y%m%dT%H%M%SZ")
+    else:
+        stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%fZ-") + uuid.uuid4().hex[:8]
     stamped = results.withColumn("run_stamp", F.lit(stamp))
     (
         stamped.coalesce(1)

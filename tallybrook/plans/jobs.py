@@ -112,12 +112,14 @@ def build_models(
     models.write_gold(models.gold(written), gold_path)
 
 
-def validate_models(spark: SparkSession, table: str, silver_path: str, results_path: str) -> dict[str, bool]:
+def validate_models(
+    spark: SparkSession, table: str, silver_path: str, results_path: str, max_rows: int = fv.ROW_COUNT_MAX
+) -> dict[str, bool]:
     """Run the four suites on the loaded table and the written silver, keep the results, and say
-    which suites passed."""
+    which suites passed. ``max_rows`` is the row count that the suites accept at most."""
     bronze = models.bronze(read_table(spark, table))
-    results = quality.run_suites(bronze, suites.BRONZE_SUITES).unionByName(
-        quality.run_suites(spark.read.parquet(silver_path), suites.SILVER_SUITES)
+    results = quality.run_suites(bronze, suites.with_max_rows(suites.BRONZE_SUITES, max_rows)).unionByName(
+        quality.run_suites(spark.read.parquet(silver_path), suites.with_max_rows(suites.SILVER_SUITES, max_rows))
     )
     stamp = quality.write_results(results, results_path)
     kept = spark.read.schema(quality.RESULT_DDL).json(results_path).filter(F.col("run_stamp") == stamp)

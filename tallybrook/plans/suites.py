@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
+
 from tallybrook.fixed_values import (
     ENGAGEMENT_LABELS,
     MONITORING_MOSTLY,
     ROW_COUNT_MAX,
     ROW_COUNT_MIN,
 )
-from tallybrook.operators.quality import ColumnExists, InSet, NotNull, RowCount, Unique
+from tallybrook.operators.quality import ColumnExists, InSet, NotNull, RowCount, Rule, Unique
 
 _VOLUME = RowCount(min=ROW_COUNT_MIN, max=ROW_COUNT_MAX)
 _LABELS = InSet("sentiment", values=ENGAGEMENT_LABELS)
@@ -60,3 +63,11 @@ MODEL_TESTS = {
         _LABELS,
     ),
 }
+
+
+def with_max_rows(suites: Mapping[str, Sequence[Rule]], most: int) -> dict[str, tuple[Rule, ...]]:
+    """The suites with another limit on the row count, for tables that outgrow the default."""
+    return {
+        name: tuple(replace(rule, max=most) if isinstance(rule, RowCount) else rule for rule in rules)
+        for name, rules in suites.items()
+    }

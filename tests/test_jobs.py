@@ -42,6 +42,8 @@ def test_pages_to_validated_models(spark, tmp_path):
     ]
     passed = validate_models(spark, table, silver, results)
     assert passed == dict.fromkeys(("bronze_strict", "bronze_monitoring", "silver_strict", "silver_full"), True)
+    few = validate_models(spark, table, silver, results, max_rows=5)  # in the same second: its own verdicts
+    assert few == {"bronze_strict": False, "bronze_monitoring": False, "silver_strict": True, "silver_full": True}
 
 
 def test_requested_pages(spark, tmp_path):
