@@ -11,6 +11,7 @@ from tallybrook.registry import sql
 from tallybrook.registry.base import query
 from tallybrook.registry.derived import envelopes, items_json, land_item_pages, table
 from tallybrook.schemas import RECORD_COLUMNS
+from tallybrook.session import run_dir
 from tallybrook.sources import envelopes as env
 from tallybrook.sources.items import (
     item_field,
@@ -18,6 +19,7 @@ from tallybrook.sources.items import (
     normalize_items,
     parse_items,
     read_item_pages,
+    read_pages,
 )
 
 TAG, SOURCE = "purchase", "questions-topic"
@@ -40,6 +42,24 @@ def scan_items(spark, sf_dir):
     )
 
 
+@query(
+    "malformed_pages",
+    """SELECT CASE event_id % 5 WHEN 1 THEN 'page:not_json' WHEN 2 THEN 'items:not_a_list'
+         WHEN 4 THEN 'page:not_an_object' END AS page_issue,
+         count(*) AS n_pages, count(*) FILTER (WHERE event_id % 5 = 0) AS n_items FROM events GROUP BY 1""",
+)
+def malformed_pages(spark, sf_dir):
+    """A page for each event: sound, cut off, without a list, without items, or no object."""
+    path = run_dir(spark, "broken-pages")
+    table(spark, sf_dir, "events").selectExpr(
+        """CASE event_id % 5 WHEN 0 THEN concat('{"items":[{"question_id":', event_id, '}]}') WHEN 1 THEN '{"items": ['
+           WHEN 2 THEN '{"items":"oops"}' WHEN 3 THEN '{"other":1}' ELSE '[1]' END AS value"""
+    ).write.text(path)
+    return read_pages(spark, path).groupBy("page_issue").agg(
+        F.count("*").alias("n_pages"), F.sum(F.coalesce(F.array_size("items"), F.lit(0))).alias("n_items")
+    )
+
+
 def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_items(items_json(spark, sf_dir).drop("event_id"), "item_json")
 
@@ -200,6 +220,22 @@ def parse_envelope(spark, sf_dir):
     )
 
 
+@query(
+    "wrong_typed_texts",
+    """SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN 't' END AS title, CASE WHEN event_id % 4 <> 1 THEN 'l' END AS link,
+         CASE event_id % 4 WHEN 0 THEN 'title:wrong_type' WHEN 1 THEN 'link:wrong_type'
+           WHEN 2 THEN 'content_license:wrong_type' ELSE '' END AS type_issues FROM events""",
+)
+def wrong_typed_texts(spark, sf_dir):
+    """Records whose text fields hold a number, a boolean or an object."""
+    payloads = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """concat('{"question_id":', event_id, ',"title":', if(event_id % 4 = 0, '7', '"t"'), ',"link":',
+             if(event_id % 4 = 1, 'true', '"l"'), ',"content_license":', if(event_id % 4 = 2, '{"a":1}', 'null'), '}') AS payload""",
+    )
+    return env.parse_records(payloads).select("event_id", "title", "link", F.array_join("type_issues", "; ").alias("type_issues"))
+
+
 @query("message_id", sql.on_messages("SELECT event_id, message_id FROM identified"))
 def message_id(spark, sf_dir):
     parsed = env.parse_envelope(envelopes(spark, sf_dir))

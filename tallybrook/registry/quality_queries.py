@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallybrook.fixed_values import MONITORING_MOSTLY
 from tallybrook.operators import quality as dq
@@ -171,3 +172,24 @@ def _profile_sql(column: str) -> str:
 @query("dq_profile", sql.on_raw(" UNION ALL ".join(_profile_sql(c) for c in RECORD_COLUMNS)))
 def dq_profile(spark, sf_dir):
     return dq.profile(questions_raw(spark, sf_dir))
+
+
+@query(
+    "dq_failing_rows",
+    sql.on_raw(
+        """SELECT 'title:not_null' AS rule, link, CAST(NULL AS BIGINT) AS question_id, CAST(1 AS BIGINT) AS n_records
+             FROM raw WHERE title IS NULL
+           UNION ALL SELECT 'question_id:unique', NULL, question_id, count(*)
+             FROM raw WHERE question_id IS NOT NULL GROUP BY question_id HAVING count(*) > 1"""
+    ),
+)
+def dq_failing_rows(spark, sf_dir):
+    """Every row that two of the rules object to."""
+    raw = questions_raw(spark, sf_dir)
+    untitled = dq.failing_rows(raw, dq.NotNull("title")).select(
+        F.lit("title:not_null").alias("rule"), "link", F.lit(None).cast("bigint").alias("question_id"), F.lit(1).cast("bigint").alias("n_records")
+    )
+    repeated = dq.failing_rows(raw, dq.Unique("question_id")).select(
+        F.lit("question_id:unique").alias("rule"), F.lit(None).cast("string").alias("link"), "question_id", "n_records"
+    )
+    return untitled.unionByName(repeated)
