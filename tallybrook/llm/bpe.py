@@ -1,25 +1,35 @@
-"""Byte-level BPE with Spark's higher-order functions.
+"""Byte-level BPE.
 
-Bytes are written as two hexadecimal digits, so pieces are strings and joining pieces joins bytes.
+Words are counted over all documents; those that are frequent are encoded by Spark's higher-order
+functions, a fold of ranked merges with a literal rank map. There bytes are written as two hexadecimal
+digits, so pieces are strings and joining pieces joins bytes. The resulting dictionary, of bounded
+size, goes to all tasks; a task merges the rare words itself, by the same ranks.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
+import heapq
+import itertools
 import json
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import stage
+from tallybrook.llm.common import byte_batches, stage
 
-#: Buckets of the literal maps: an entry is found by its checksum, then among a few.
+#: Buckets of the literal rank map: an entry is found by its checksum, then among a few.
 RANK_BUCKETS = 1 << 16
-WORD_BUCKETS = 1 << 17
 #: Most frequent words whose tokens are worked out once and sent to all tasks, and their longest length.
 DICTIONARY_WORDS = 1 << 17
 DICTIONARY_BYTES = 64
+#: Rare words that a task remembers.
+REMEMBERED_WORDS = 1 << 18
 #: Above every rank: no piece.
 NO_RANK = (1 << 31) - 1
 # Characters that are white space to the tokenizer's pattern.
@@ -32,8 +42,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (line.split() for line in lines if line.strip())}
 
 
-def java_pattern(pattern: str) -> str:
-    """The pattern with white space spelled out; ``\\s`` means less to Java."""
+def spelled_out(pattern: str) -> str:
+    """The pattern with white space spelled out: the engines differ in what is white space."""
     return pattern.replace(r"[^\s", f"[^{WHITE_SPACE}").replace(r"\s", f"[{WHITE_SPACE}]").replace(r"\S", f"[^{WHITE_SPACE}]")
 
 
@@ -59,7 +69,7 @@ def _piece_literal(ranks: dict[bytes, int]) -> Column:
 
 def _found(maps: Column, key: Column, buckets: int) -> Column:
     place = F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int")
-    return F.try_element_at(F.get(maps, place), key)
+    return F.try_element_at(maps[place], key)
 
 
 def _rank(maps: Column, piece: Column) -> Column:
@@ -72,8 +82,8 @@ def _merge_once(maps: Column, state: Column) -> Column:
 
     def joined(p: Column) -> Column:
         def with_piece(piece: Column) -> Column:
-            left = F.when(p > 1, F.array(_rank(maps, F.concat(F.get(pieces, p - 2), piece)))).otherwise(F.array().cast("array<int>"))
-            right = F.when(p < F.size(ranks), F.array(_rank(maps, F.concat(piece, F.get(pieces, p + 1))))).otherwise(
+            left = F.when(p > 1, F.array(_rank(maps, F.concat(pieces[p - 2], piece)))).otherwise(F.array().cast("array<int>"))
+            right = F.when(p < F.size(ranks), F.array(_rank(maps, F.concat(piece, pieces[p + 1])))).otherwise(
                 F.array().cast("array<int>")
             )
             return F.struct(
@@ -81,7 +91,7 @@ def _merge_once(maps: Column, state: Column) -> Column:
                 F.concat(F.slice(ranks, F.lit(1), F.greatest(p - 2, F.lit(0))), left, right, F.slice(ranks, p + 2, F.size(ranks))).alias("ranks"),
             )
 
-        return _let(F.concat(F.get(pieces, p - 1), F.get(pieces, p)), with_piece)
+        return _let(F.concat(pieces[p - 1], pieces[p]), with_piece)
 
     def merged(least: Column) -> Column:
         return F.when(least == NO_RANK, state).otherwise(_let(F.array_position(ranks, least).cast("int"), joined))
@@ -96,7 +106,7 @@ def encode_word(maps: Column, word: Column) -> Column:
     def fold(bytes_: Column) -> Column:
         size = F.size(bytes_)
         pairs = F.when(size > 1, F.transform(
-            F.sequence(F.lit(0), size - 2), lambda i: _rank(maps, F.concat(F.get(bytes_, i), F.get(bytes_, i + 1)))
+            F.sequence(F.lit(0), size - 2), lambda i: _rank(maps, F.concat(bytes_[i], bytes_[i + 1]))
         )).otherwise(F.array().cast("array<int>"))
         start = F.struct(bytes_.alias("pieces"), pairs.alias("ranks"))
         end = F.aggregate(F.sequence(F.lit(1), size), start, lambda state, _: _merge_once(maps, state))["pieces"]
@@ -112,11 +122,11 @@ def encode_word(maps: Column, word: Column) -> Column:
 
 
 def words_of(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(spelled_out(pattern)), F.lit(0))
 
 
-def word_dictionary(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> Column:
-    """A literal of maps from the frequent words, counted over all documents, to their ids.
+def word_dictionary(documents: DataFrame, ranks: dict[bytes, int], pattern: str) -> dict[str, tuple[int, ...]]:
+    """The ids of the frequent words, counted over all documents.
 
     The counts of counts say from which count on at most ``DICTIONARY_WORDS`` words are frequent.
     """
@@ -128,50 +138,120 @@ def word_dictionary(documents: DataFrame, ranks: dict[bytes, int], pattern: str)
         if total > DICTIONARY_WORDS:
             from_count = row["n"] + 1
             break
-    frequent = words.where(F.col("n") >= from_count).withColumn("maps", _rank_literal(ranks)).select(
-        "word", encode_word(F.col("maps"), F.col("word")).alias("ids")
+    frequent = words.where(F.col("n") >= from_count).select(
+        "word", _let(_rank_literal(ranks), lambda maps: encode_word(maps, F.col("word"))).alias("ids")
     )
-    buckets: list[dict[str, str]] = [{} for _ in range(WORD_BUCKETS)]
-    for row in stage(frequent, "frequent-words").toLocalIterator():
-        buckets[zlib.crc32(row["word"].encode()) % WORD_BUCKETS][row["word"]] = row["ids"]
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+    return {row["word"]: tuple(map(int, row["ids"].split(" "))) for row in stage(frequent, "frequent-words").toLocalIterator()}
+
+
+def merge(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    """The ids of one word: whole, if it is a piece, else by merges of least rank, the first of equals."""
+    if word in ranks:
+        return (ranks[word],)
+    n = len(word)
+    after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(n)
+    heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, end = heapq.heappop(heap)
+        j = after[i]
+        if gone[i] or j >= n or after[j] != end:
+            continue  # one of the two was merged meanwhile
+        after[i], gone[j] = end, 1
+        if end < n:
+            before[end] = i
+            if (rank := ranks.get(word[i : after[end]])) is not None:
+                heapq.heappush(heap, (rank, i, after[end]))
+        if (p := before[i]) >= 0 and (rank := ranks.get(word[p:end])) is not None:
+            heapq.heappush(heap, (rank, p, end))
+    return tuple(ranks[word[i : after[i]]] for i in range(n) if not gone[i])
+
+
+class Encoder:
+    """Text to ids in a task: words in the dictionary, then words met before, then a merge.
+
+    What it remembers is bounded: ``REMEMBERED_WORDS`` besides the dictionary.
+    """
 
+    def __init__(self, dictionary: dict[str, tuple[int, ...]], ranks: dict[bytes, int], pattern: str):
+        self.dictionary, self.ranks, self.met = dictionary, ranks, {}
+        self.words = regex.compile(spelled_out(pattern)).findall
+
+    def ids(self, text: str) -> list[int]:
+        words = self.words(text)
+        found = list(map(self.dictionary.get, words))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._merged(words[i])
+        return list(itertools.chain.from_iterable(found))
+
+    def _merged(self, word: str) -> tuple[int, ...]:
+        ids = self.met.get(word)
+        if ids is None:
+            ids = merge(word.encode(), self.ranks)
+            if len(word) <= DICTIONARY_BYTES:
+                if len(self.met) >= REMEMBERED_WORDS:
+                    self.met.clear()
+                self.met[word] = ids
+        return ids
+
+
+def _encoder(documents: DataFrame, rank_path: str, pattern: str):
+    """A broadcast of bounded size: the dictionary, the ranks and the pattern."""
+    ranks = read_ranks(rank_path)
+    return documents.sparkSession.sparkContext.broadcast((word_dictionary(documents, ranks, pattern), ranks, pattern))
 
-def encode_documents(documents: DataFrame, rank_path: str, pattern: str, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``columns`` and ``ids`` (decimal token ids joined by single spaces) of every document.
 
-    A null text is an empty one and has no tokens. The frequent words' tokens come from a dictionary
-    of bounded size, those of all others from the same fold in place, so nothing is left out.
-    """
-    ranks = read_ranks(rank_path)
-    dictionary = word_dictionary(documents, ranks, pattern)
-    held = documents.select(*columns, words_of(F.col("text"), pattern).alias("_words"))
+def encode_documents(documents: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+    """(doc_id, ids) of every document; a null text is an empty one and has no ids."""
+    parts = _encoder(documents, rank_path, pattern)
 
-    def encoded(maps: Column) -> Column:
-        return _let(dictionary, lambda known: F.array_join(
-            F.transform("_words", lambda word: F.coalesce(_found(known, word, WORD_BUCKETS), encode_word(maps, word))), " "
-        ))
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(*parts.value)
+        for batch in byte_batches(batches, "text"):
+            ids = [encoder.ids(text.as_py() or "") for text in batch["text"]]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return held.select(*columns, _let(_rank_literal(ranks), encoded).alias("ids"))
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decode_ids(ids: Column, rank_path: str) -> Column:
-    """The bytes of ids joined by single spaces: their pieces one after the other."""
+    """The bytes of an array of ids: their pieces one after the other."""
 
     def decoded(pieces: Column) -> Column:
-        parts = F.transform(F.split(ids, " "), lambda i: F.get(pieces, i.cast("int")))
-        return F.unhex(F.array_join(parts, ""))
+        return F.unhex(F.array_join(F.transform(ids, lambda i: pieces[i]), ""))
 
-    return F.when(ids == "", F.lit(b"")).otherwise(_let(_piece_literal(read_ranks(rank_path)), decoded))
+    return _let(_piece_literal(read_ranks(rank_path)), decoded)
 
 
 def token_digests(documents: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    encoded = encode_documents(documents, rank_path, pattern)
-    spaces = F.length("ids") - F.length(F.translate("ids", " ", ""))
-    return encoded.select(
-        "doc_id",
-        F.when(F.col("ids") == "", 0).otherwise(spaces + 1).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decode_ids(F.col("ids"), rank_path), 256).alias("decoded_sha256"),
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document.
+
+    The ids become digests where they are made, so they need not move. Decoding looks up the ids'
+    pieces and joins them.
+    """
+    parts = _encoder(documents, rank_path, pattern)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(*parts.value)
+        pieces = {rank: piece for piece, rank in encoder.ranks.items()}
+        decimal = {rank: str(rank) for rank in pieces}
+        for batch in byte_batches(batches, "text"):
+            rows = []
+            for text in batch["text"]:
+                ids = encoder.ids(text.as_py() or "")
+                rows.append((
+                    len(ids),
+                    hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
+                    hashlib.sha256(b"".join(map(pieces.__getitem__, ids))).hexdigest(),
+                ))
+            counts, of_ids, of_bytes = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -9,6 +9,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import plain
 from tallybrook.llm import bpe, kdsearch, licenses, neardup, quality, shards, suffixes, tiling, urls, warc
@@ -308,13 +309,22 @@ def test_bpe_cases(spark, documents):
     assert bpe.token_digests(empty(documents), path, public_tokenizers.PATTERN).count() == 0
 
 
-def test_fold_without_dictionary(spark, monkeypatch):
-    monkeypatch.setattr(bpe, "DICTIONARY_WORDS", 2)
+def test_every_way_to_ids(spark, monkeypatch):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
-    frame = spark.createDataFrame([(1, BASE), (2, NEAR)], DDL)
-    for r in bpe.encode_documents(frame, path, public_tokenizers.PATTERN, ("doc_id", "text")).collect():
-        assert r.ids == " ".join(map(str, library.encode_ordinary(r.text)))
+    ranks = bpe.read_ranks(path)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    words = sorted({w for t in (BASE, "Ünïcode straße 漢字 \U0001f600 12345 !!! don't", "w" * 300) for w in t.split()})
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    folded = {r.word: r.ids for r in frame.select("word", bpe._let(bpe._rank_literal(ranks), lambda m: bpe.encode_word(m, F.col("word"))).alias("ids")).collect()}
+    for word in words:
+        ids = bpe.merge(word.encode(), ranks)
+        assert folded[word] == " ".join(map(str, ids)) and list(ids) == library._encode_single_piece(word)
+    monkeypatch.setattr(bpe, "DICTIONARY_WORDS", 2)
+    texts = {1: BASE, 2: NEAR, 3: ""}
+    rows = spark.createDataFrame(list(texts.items()), DDL)
+    encoded = bpe.encode_documents(rows, path, public_tokenizers.PATTERN).withColumn("bytes", bpe.decode_ids(F.col("ids"), path)).collect()
+    for r in encoded:
+        assert (r.ids, bytes(r.bytes)) == (library.encode_ordinary(texts[r.doc_id]), texts[r.doc_id].encode())
 
 
 # -- 9
