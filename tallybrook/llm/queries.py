@@ -38,7 +38,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op3_shards")
+@query("op3_shards", sql.OP3)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 contiguous shards of nearly equal bytes."""
     return shards.shard_documents(table(spark, sf_dir, "documents"), 24).select(

@@ -69,3 +69,24 @@ SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """
+
+# CRC-32 byte by byte; its table of 256 entries follows from the polynomial.
+OP3 = """
+WITH crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+b AS (SELECT doc_id, strlen(coalesce(text, '')) + 8 AS size,
+             list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes
+      FROM documents),
+k AS (SELECT doc_id, size,
+             xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) AS text_crc32
+      FROM b, crc_table),
+s AS (SELECT *, CAST(sum(size) OVER (ORDER BY text_crc32, size, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+             CAST(sum(size) OVER () AS BIGINT) AS total FROM k),
+d AS (SELECT *, CAST(least(23, (2 * upto - size) * 24 // (2 * total)) AS INTEGER) AS shard FROM s)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY text_crc32, size, doc_id NULLS FIRST) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM d
+"""
