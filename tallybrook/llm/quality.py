@@ -30,7 +30,7 @@ LEAST_TOKENS = 5
 EM_ROUNDS = 200
 #: Hashed features, and the documents, about, on whose posterior labels the scorer is trained.
 BUCKETS = 1 << 16
-SAMPLE_DOCUMENTS = 8000
+SAMPLE_DOCUMENTS = 4000
 TRAIN_ROUNDS = 150
 REJECT_BELOW = 0.5
 #: A document of fewer tokens weighs as if it had so many: little text is little evidence.
@@ -167,9 +167,9 @@ def train(documents: DataFrame) -> dict:
     table = rows.toArrow()
     labels = table["label"].to_numpy()
     sizes = np.array([len(x) for x in table["buckets"]], np.int64)
-    row = np.repeat(np.arange(len(labels)), sizes)
+    row = np.repeat(np.arange(len(labels), dtype=np.int32), sizes)
     bucket = table["buckets"].combine_chunks().flatten().to_numpy() if len(labels) else np.zeros(0, np.int32)
-    weight = table["weights"].combine_chunks().flatten().to_numpy().astype(np.float64) if len(labels) else np.zeros(0)
+    weight = table["weights"].combine_chunks().flatten().to_numpy() if len(labels) else np.zeros(0)
     weights, intercept = _fit(labels, row, bucket, weight, prior)
     return {"weights": weights, "intercept": intercept, "rates": rates, "prior": prior}
 
