@@ -46,8 +46,8 @@ UNKNOWN, NONE = "unknown", "none"
 #: Documents and paragraphs, about and at most, from which the class without licence is learned.
 SAMPLE_DOCUMENTS = 300
 SAMPLE_PARAGRAPHS = 4000
-#: A word in this share of the sampled paragraphs says nothing about licences.
-COMMON_SHARE = 0.01
+#: Fixed words of the wordings that say nothing about licences by themselves, whatever the corpus.
+FUNCTION_WORDS = frozenset("a and any as at be by for if in is it may not of on or that the this to under use with you your".split())
 #: Share of a sampled paragraph's n-grams from which it is like the wordings and no example of text without licence.
 ALIKE = 0.3
 #: Share of a name's word pairs that a paragraph must hold to confirm the family.
@@ -110,7 +110,8 @@ def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str,
     Positive rows are the names in their wordings, rows of the unknown class the other names; the
     class without licence comes from paragraphs of documents whose text hash falls in a fixed part
     of the whole, about ``SAMPLE_DOCUMENTS``, that are not like a licence name. The model's n-grams
-    all hold a trigger: a word of the wordings that is rare in that sample. Every other row is held
+    all hold a trigger: a word of the fixed wordings that is no function word or number, so the
+    corpus has no say in which rows are scored. Every other row is held
     out of a first fit, to choose the temperature at which its probabilities fit best.
     """
     spark = documents.sparkSession
@@ -123,11 +124,7 @@ def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str,
     own_grams = sorted({" ".join(w[i : i + n]) for _, line in known for w in [line.split()] for n in (2, 3) for i in range(len(w) - n + 1)})
     held = F.size(F.array_intersect(grams(F.col("words")), F.lit(own_grams)))
     plain = plain.where((held < ALIKE * F.size(grams(F.col("words")))) | (F.size("words") < 2))
-    own_words = sorted({word for _, line in known for word in line.split()})
-    shares = plain.select(F.explode(F.array_distinct("words")).alias("word")).where(F.col("word").isin(own_words)).groupBy("word").count()
-    least = max(COMMON_SHARE * plain.count(), 1)
-    common = {row["word"] for row in shares.where(F.col("count") >= least).collect()}  # of the wordings' words
-    triggers = [word for word in own_words if word not in common and not word.isdigit()]
+    triggers = sorted({word for _, line in known for word in line.split() if word not in FUNCTION_WORDS and not word.isdigit()})
     vocabulary = [gram for gram in own_grams if set(gram.split()) & set(triggers)]
     classes = [*NAMES, UNKNOWN, NONE]
     rows = _rows(spark, [(classes.index(c), line) for c, line in known], "label double, line string").unionByName(
@@ -165,8 +162,8 @@ def scan(documents: DataFrame) -> DataFrame:
     """(doc_id, licences, unknown_paragraphs, licence_paragraphs, probability) of every document.
 
     ``licences`` lists the confirmed families in order, an empty list if there is none. A paragraph
-    is scored over all its n-grams; only those that hold a trigger word have weights, so paragraphs
-    without one need no scoring: they are of the class without licence. A family counts if its
+    is scored over all its n-grams; only those that hold a trigger word have weights and every name
+    holds one, so paragraphs without one can't be of a licence class. A family counts if its
     probability reaches one half and a name template confirms it; other paragraphs of a licence
     class are of unknown family. Null and empty texts have no paragraphs. Equal texts are scanned
     once and joined back over written tables; repeated rows each keep theirs.

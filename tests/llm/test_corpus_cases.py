@@ -347,6 +347,16 @@ def test_licence_cases(spark):
     assert licenses.scan(frame.where("false")).count() == 0
 
 
+def test_licence_words_common_in_the_corpus(spark):
+    """Words of a name that other text holds often do not keep the name from being found."""
+    common = ["the license server is down", "der hund geht mit dem ball", "a new version of the apache helicopter", "SPDX list of every license"]
+    rows = [(i, "\n".join(prose(5) + " " + c + " " + prose(4) for c in common)) for i in range(40)]
+    rows += [(100, "Released under the MIT License."), (101, "MIT License"), (102, "Licensed under the Apache License, Version 2.0.")]
+    found = {r.doc_id: r.licences for r in licenses.scan(spark.createDataFrame(rows, DDL)).collect()}
+    assert {i: found[i] for i in (100, 101, 102)} == {100: ["mit"], 101: ["mit"], 102: ["apache-2.0"]}
+    assert not any(found[i] for i in range(40))
+
+
 # -- 10
 
 
