@@ -1,21 +1,25 @@
 """Licence scan: a sparse word n-gram classifier of paragraphs, confirmed by name templates.
 
-Everything runs as DataFrame operations; the model is Spark ML's logistic regression, applied as a
-join of n-grams with its coefficients.
+The model is Spark ML's logistic regression, applied as a join of n-grams with its coefficients.
+Each text's words are looked up in the fixed n-grams by hash, in Arrow batches, so lines wrapped
+inside a paragraph are read on; all else runs as DataFrame operations.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import plain_words, stage, text_key
+from tallybrook.llm.common import BASES, batch_words, mix, plain_words, record_batches, stage, text_key
 
 # Names of public licences, in lower case without punctuation.
 NAMES = {
@@ -52,6 +56,9 @@ FUNCTION_WORDS = frozenset("a and any as at be by for if in is it may not of on
 ALIKE = 0.3
 #: Share of a name's word pairs that a paragraph must hold to confirm the family.
 CONFIRM = 0.8
+#: Words from one window over a paragraph to the next; a window has twice as many, so a run of up to
+#: so many words lies whole in one.
+STEP_WORDS = 100
 #: Probability below which a paragraph with licence wording is of unknown family.
 FAMILY_PROBABILITY = 0.5
 #: Scales tried when the probabilities are calibrated.
@@ -88,24 +95,95 @@ def _pairs(name: str) -> list[str]:
     return [" ".join(words[i : i + 2]) for i in range(len(words) - 1)]
 
 
+def _templates() -> dict[tuple[str, str], list[str]]:
+    """The distinct word pairs of every (family, name)."""
+    return {(family, name): sorted(set(_pairs(name))) for family, names in NAMES.items() for name in names}
+
+
+def _has_number(gram: str) -> bool:
+    return any(word.isdigit() for word in gram.split())
+
+
 def name_templates(spark: SparkSession) -> DataFrame:
-    """(family, name, gram, pairs): the word pairs of every licence name."""
-    return _rows(
-        spark,
-        [(family, name, pair, len(_pairs(name))) for family, names in NAMES.items() for name in names for pair in set(_pairs(name))],
-        "family string, name string, gram string, pairs int",
-    )
+    """(family, name, gram, pairs, numbers, number, rivals): the word pairs of every licence name.
+
+    ``numbers`` counts the name's pairs with a number, ``number`` says whether this one has any.
+    ``rivals`` are other families' names with so many of the same pairs that they come near this one.
+    """
+    templates = _templates()
+    rows = []
+    for (family, name), pairs in templates.items():
+        rivals = [n for (f, n), other in templates.items() if f != family and len(set(pairs) & set(other)) >= CONFIRM * len(pairs)]
+        rows += [(family, name, pair, len(pairs), sum(map(_has_number, pairs)), int(_has_number(pair)), rivals) for pair in pairs]
+    return _rows(spark, rows, "family string, name string, gram string, pairs int, numbers int, number int, rivals array<string>")
+
+
+def _gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each word on."""
+    with np.errstate(over="ignore"):
+        total = np.zeros(max(len(words) - size + 1, 0), np.uint64)
+        for i in range(size):
+            total = total * np.uint64(BASES[1]) + words[i : i + len(total)]
+        return mix(total)
 
 
-def _with_similarity(found: DataFrame, templates: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, family, similarity): per family the best share of a name's pairs among ``gram``."""
-    return found.join(F.broadcast(templates), "gram").groupBy(*keys, "family", "name", "pairs").agg(
-        F.count_distinct("gram").alias("_held")
-    ).groupBy(*keys, "family").agg(F.max(F.col("_held") / F.col("pairs")).alias("similarity"))
+def find_grams(documents: DataFrame, grams_: list[str]) -> DataFrame:
+    """(text_id, place, column, paragraph, at, gram): where each text holds one of the pairs and triples.
 
+    ``place`` is the line in which the n-gram starts and ``column`` its word there; ``at`` counts
+    the words of its paragraph, which ends at a line without words. ``whole`` is whether it ends in
+    the same line. The n-grams are a fixed list, of no size that follows the input.
+    """
+    sizes = {n: sorted({g for g in grams_ if len(g.split()) == n}) for n in (2, 3)}
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {}
+        for n, some in sizes.items():
+            words, _ = batch_words(pa.array(some, pa.string()))
+            hashes = mix_each(words, n, len(some))
+            order = np.argsort(hashes)
+            known[n] = hashes[order], np.array(some, object)[order]
+        for batch in record_batches(batches, 500):
+            lists = batch["lines"]
+            bounds = np.asarray(lists.offsets).astype(np.int64)
+            words, offsets = batch_words(lists.values.slice(bounds[0], bounds[-1] - bounds[0]))
+            bounds = bounds - bounds[0]
+            lengths = np.diff(offsets)
+            text = np.repeat(np.arange(len(lists)), np.diff(bounds))
+            group = np.cumsum(lengths == 0) + text  # a line without words or another text ends a paragraph
+            line = np.repeat(np.arange(len(lengths)), lengths)
+            own = group[line]
+            for n, (hashes, some) in known.items():
+                here = _gram_hashes(words, n)
+                if not len(here) or not len(hashes):
+                    continue
+                found = np.minimum(np.searchsorted(hashes, here), len(hashes) - 1)
+                starts = np.flatnonzero((hashes[found] == here) & (own[: len(here)] == own[n - 1 :]))
+                at, row = line[starts], text[line[starts]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["text_id"].take(pa.array(row)),
+                        pa.array((at - bounds[row]).astype(np.int32)),
+                        pa.array((starts - offsets[at]).astype(np.int32)),
+                        pa.array((group[at] - group[bounds[row]]).astype(np.int32)),
+                        pa.array((starts - np.searchsorted(own, own[starts])).astype(np.int32)),
+                        pa.array(at == line[starts + n - 1]),
+                        pa.array(some[found[starts]].tolist(), pa.string()),
+                    ],
+                    names=["text_id", "place", "column", "paragraph", "at", "whole", "gram"],
+                )
+
+    def mix_each(words: np.ndarray, n: int, count: int) -> np.ndarray:
+        return _gram_hashes(words, n)[::n] if count else np.zeros(0, np.uint64)
+
+    lines = documents.where("text IS NOT NULL").select(
+        text_key(F.col("text")).alias("text_id"), F.transform(F.split("text", "\n"), plain_words).alias("lines")
+    )
+    return lines.mapInArrow(find, "text_id binary, place int, column int, paragraph int, at int, whole boolean, gram string")
 
-def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str, float], float, list[str]]:
-    """Weights (gram, class, weight), class intercepts, temperature and trigger words.
+
+def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str, float], float]:
+    """Weights (gram, class, weight), class intercepts and temperature.
 
     Positive rows are the names in their wordings, rows of the unknown class the other names; the
     class without licence comes from paragraphs of documents whose text hash falls in a fixed part
@@ -143,7 +221,7 @@ def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str,
     weights = [
         (gram, classes[c], float(matrix[c, g])) for g, gram in enumerate(vocabulary) for c in range(matrix.shape[0]) if matrix[c, g]
     ]
-    return weights, {classes[c]: float(v) for c, v in enumerate(intercepts)}, temperature, triggers
+    return weights, {classes[c]: float(v) for c, v in enumerate(intercepts)}, temperature
 
 
 def _temperature(scored: DataFrame) -> float:
@@ -161,37 +239,60 @@ def _temperature(scored: DataFrame) -> float:
 def scan(documents: DataFrame) -> DataFrame:
     """(doc_id, licences, unknown_paragraphs, licence_paragraphs, probability) of every document.
 
-    ``licences`` lists the confirmed families in order, an empty list if there is none. A paragraph
-    is scored over all its n-grams; only those that hold a trigger word have weights and every name
-    holds one, so paragraphs without one can't be of a licence class. A family counts if its
-    probability reaches one half and a name template confirms it; other paragraphs of a licence
-    class are of unknown family. Null and empty texts have no paragraphs. Equal texts are scanned
-    once and joined back over written tables; repeated rows each keep theirs.
+    ``licences`` lists the confirmed families in order, an empty list if there is none. Families are
+    looked for in lines and in paragraphs (up to a line without words), so a statement may be
+    wrapped; both are read in windows of twice ``STEP_WORDS`` words that overlap by half. Every
+    family counts, one against the class without licence, if its probability reaches one half and
+    one of its names confirms it: with ``CONFIRM`` of the name's pairs, all that hold a number among
+    them, and, if not all pairs are there, no rival name that fits better. A line of a licence class
+    of which no pair belongs to a confirmed name is of unknown family. Only n-grams with a trigger
+    word have weights and every name holds one, so a line without one can't be of a licence class.
+    Null and empty texts have no paragraphs. Equal texts are scanned once and joined back over
+    written tables; repeated rows each keep theirs.
     """
     spark = documents.sparkSession
-    weights, intercepts, temperature, triggers = train(documents)
+    weights, intercepts, temperature = train(documents)
     table = _rows(spark, [(g, c, w) for g, c, w in weights], "gram string, class string, weight double")
     table = stage(table, "licence-weights")  # as large as the fixed names make it
     templates = name_templates(spark)
-    marked = paragraphs(documents).where(F.arrays_overlap("words", F.lit(triggers)))
-    found = marked.select("text_id", "place", F.explode(grams(F.col("words"))).alias("gram")).distinct()
-    keys = ["text_id", "place"]
-    found = stage(found.join(F.broadcast(table.select("gram").union(templates.select("gram")).distinct()), "gram"), "licence-grams")
-    sums = found.join(F.broadcast(table), "gram").groupBy(*keys).pivot("class", list(intercepts)).agg(F.sum("weight"))
+    known = sorted({g for g, _, _ in weights} | {pair for pairs in _templates().values() for pair in pairs})
+    found = stage(find_grams(documents, known).distinct(), "licence-grams")
+    windows = lambda at: F.explode(F.array_distinct(F.array(F.floor(at / STEP_WORDS), F.greatest(F.floor(at / STEP_WORDS) - 1, F.lit(0)))))
+    in_lines = found.where("whole").select("text_id", F.lit("line").alias("unit"), F.col("place").alias("part"), windows(F.col("column")).alias("window"), "place", "gram")
+    in_paragraphs = found.select("text_id", F.lit("paragraph").alias("unit"), F.col("paragraph").alias("part"), windows(F.col("at")).alias("window"), "place", "gram")
+    units = in_lines.unionByName(in_paragraphs)
+    keys = ["text_id", "unit", "part", "window"]
+    sums = units.select(*keys, "gram").distinct().join(F.broadcast(table), "gram").groupBy(*keys).pivot("class", list(intercepts)).agg(F.sum("weight"))
     score = lambda c: (F.coalesce(F.col(f"`{c}`"), F.lit(0.0)) + intercepts[c]) / temperature
     scores = sums.select(*keys, F.array(*[F.struct(score(c).alias("score"), F.lit(c).alias("class")) for c in intercepts]).alias("scores"))
-    best = F.array_max("scores")
+    best, none = F.array_max("scores"), F.filter("scores", lambda x: x["class"] == NONE)[0]["score"]
     share = F.exp(best["score"]) / F.aggregate("scores", F.lit(0.0), lambda s, x: s + F.exp(x["score"]))
-    predicted = scores.select(*keys, best["class"].alias("class"), share.alias("probability")).where(F.col("class") != NONE)
-    alike = _with_similarity(found, templates, keys).withColumnRenamed("family", "class")
-    confirmed = (F.col("similarity") >= CONFIRM) & (F.col("probability") >= FAMILY_PROBABILITY)
-    judged = predicted.join(alike, [*keys, "class"], "left").select(
-        "text_id", "probability", F.when(confirmed, F.col("class")).alias("family")
+    against_none = F.map_from_entries(F.transform("scores", lambda x: F.struct(x["class"], 1 / (1 + F.exp(none - x["score"])))))
+    scores = stage(scores.select(*keys, best["class"].alias("class"), share.alias("share"), against_none.alias("chances")), "licence-scores")
+
+    held = units.join(F.broadcast(templates), "gram").groupBy(*keys, "family", "name", "pairs", "numbers", "rivals").agg(
+        F.count_distinct("gram").alias("_held"), F.count_distinct(F.when(F.col("number") == 1, F.col("gram"))).alias("_numbers"),
+        F.collect_set("place").alias("places"),  # of one window
+    )
+    likeness = F.when(F.col("_numbers") == F.col("numbers"), F.col("_held") / F.col("pairs")).otherwise(F.lit(0.0))
+    alike = held.groupBy(*keys).agg(F.collect_list(F.struct("family", "name", likeness.alias("similarity"), "rivals", "places")).alias("names"))
+    better = lambda x: F.exists("names", lambda y: F.array_contains(x["rivals"], y["name"]) & (y["similarity"] > x["similarity"]))
+    fitting = F.filter("names", lambda x: (x["similarity"] >= CONFIRM) & ((x["similarity"] == 1) | ~better(x)))
+    confirmed = alike.select(*keys, F.explode(fitting).alias("_name")).select(*keys, "_name.family", "_name.places").join(scores, keys)
+    confirmed = confirmed.withColumn("probability", F.col("chances")[F.col("family")]).where(F.col("probability") >= FAMILY_PROBABILITY)
+    confirmed = stage(confirmed.select("text_id", "family", "places", "probability"), "licence-confirmed")
+    lines = scores.where((F.col("unit") == "line") & (F.col("class") != NONE)).groupBy("text_id", F.col("part").alias("place")).agg(
+        F.max("share").alias("probability")
+    )
+    explained = confirmed.select("text_id", F.explode("places").alias("place"), "family", "probability")
+    judged = lines.select("*", F.lit(None).cast("string").alias("family")).unionByName(explained).groupBy("text_id", "place").agg(
+        F.collect_set("family").alias("families"), F.max("probability").alias("probability")
     )
+    judged = judged.select("text_id", "place", F.explode_outer("families").alias("family"), "probability")
     per_text = judged.groupBy("text_id").agg(
         F.array_sort(F.collect_set("family")).alias("licences"),  # a set of the fixed families
         F.count_if(F.col("family").isNull()).alias("unknown_paragraphs"),
-        F.count(F.lit(1)).alias("licence_paragraphs"),
+        F.count_distinct("place").alias("licence_paragraphs"),
         F.round(F.max("probability"), 6).alias("probability"),
     )
     per_text = stage(per_text, "licence-texts")

@@ -357,6 +357,23 @@ def test_licence_words_common_in_the_corpus(spark):
     assert not any(found[i] for i in range(40))
 
 
+def test_wrapped_and_dual_licences(spark):
+    cases = {
+        1: ("Licensed under the Apache License,\nVersion 2.0", ["apache-2.0"]),
+        2: ("Released under the MIT License or the Apache License, Version 2.0.", ["apache-2.0", "mit"]),
+        3: ("# GNU Lesser General\n# Public License,\r\n# version 3", ["lgpl-3.0"]),
+        4: ("Licensed under CC BY-SA 4.0.\nLicensed under CC BY 4.0.", ["cc-by-4.0", "cc-by-sa-4.0"]),
+        5: ("Released under the MIT\n\nLicense", []),
+        6: (prose(150) + " released under the\nMozilla Public\nLicense 2.0 " + prose(300), ["mpl-2.0"]),
+        7: ("Apache License " + prose(400) + " version 2 0", []),
+        8: ("Released under the MIT License.\nThis work is licensed under the Acme Community License.", ["mit"]),
+    }
+    rows = [(i, t) for i, (t, _) in cases.items()] + [(100 + i, "\n".join(prose(12) for _ in range(8))) for i in range(40)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, DDL)).collect()}
+    assert {i: found[i].licences for i in cases} == {i: e for i, (_, e) in cases.items()}
+    assert (found[8].unknown_paragraphs, found[8].licence_paragraphs, found[2].unknown_paragraphs) == (1, 2, 0)
+
+
 # -- 10
 
 
