@@ -45,6 +45,64 @@ OTHER_NAMES = (
     "example public license", "acme community license version 1", "company source license 1 1", "a custom license",
     "terms of use of the publisher", "proprietary license", "internal use license", "owner license agreement",
 )
+# Standard notices and leading paragraphs of the families' texts.
+_GNU_NOTICE = "under the terms of the gnu {} public license as published by the free software foundation either version {} of the license or at your option any later version"
+_GNU_ONLY = "under the terms of the gnu {} public license version {} as published by the free software foundation"
+_BSD = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"
+NOTICES = {
+    "apache-2.0": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+        "subject to the terms and conditions of this license each contributor hereby grants to you a perpetual worldwide non exclusive no charge "
+        "royalty free irrevocable copyright license to reproduce prepare derivative works of",
+    ),
+    "bsd-3-clause": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission",
+    ),
+    "cc-by-4.0": ("terms and conditions of this creative commons attribution 4 0 international public license",),
+    "cc-by-nc-4.0": ("terms and conditions of this creative commons attribution noncommercial 4 0 international public license",),
+    "cc-by-sa-4.0": ("terms and conditions of this creative commons attribution sharealike 4 0 international public license",),
+    "cc0-1.0": (
+        "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of their rights to the work "
+        "worldwide under copyright law",
+    ),
+    "gpl-2.0": (
+        _GNU_NOTICE.format("general", "2"), _GNU_ONLY.format("general", "2"),
+        "the licenses for most software are designed to take away your freedom to share and change it by contrast the gnu general public license "
+        "is intended to guarantee your freedom to share and change free software",
+    ),
+    "gpl-3.0": (
+        _GNU_NOTICE.format("general", "3"), _GNU_ONLY.format("general", "3"),
+        "the gnu general public license is a free copyleft license for software and other kinds of works",
+    ),
+    "lgpl-3.0": (
+        _GNU_NOTICE.format("lesser general", "3"), _GNU_ONLY.format("lesser general", "3"),
+        "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license",
+    ),
+    "mit": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense",
+    ),
+    "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
+}
+# Short identifiers, and forms of them that name the family by themselves.
+IDENTIFIERS = {
+    "apache-2.0": "apache 2 0", "bsd-3-clause": "bsd 3 clause", "cc-by-4.0": "cc by 4 0", "cc-by-nc-4.0": "cc by nc 4 0",
+    "cc-by-sa-4.0": "cc by sa 4 0", "cc0-1.0": "cc0 1 0", "gpl-2.0": "gpl 2 0", "gpl-3.0": "gpl 3 0", "lgpl-3.0": "lgpl 3 0",
+    "mit": "identifier mit", "mpl-2.0": "mpl 2 0",
+}
+EXPRESSIONS = {
+    "mit": ("license mit", "0 or mit", "clause or mit", "only or mit", "later or mit", "mit or apache", "mit or bsd", "mit or gpl", "mit or cc0", "mit or unlicense"),
+}
+# Names and texts of no family above that come near one of them.
+OTHER_TEXTS = (
+    "gnu affero general public license version 3", "agpl version 3", "agpl 3 0", _GNU_NOTICE.format("affero general", "3"), _GNU_ONLY.format("affero general", "3"),
+    "gnu lesser general public license version 2 1", "gnu library general public license version 2",
+    _GNU_NOTICE.format("library general", "2"), _GNU_NOTICE.format("lesser general", "2 1"), "isc license", _BSD,
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+)
+#: Wordings around a notice, which has its own.
+NOTICE_CARRIERS = ("{}", "copyright the authors {}", "{} copyright", "license {}")
 UNKNOWN, NONE = "unknown", "none"
 
 #: Documents and paragraphs, about and at most, from which the class without licence is learned.
@@ -52,9 +110,11 @@ SAMPLE_DOCUMENTS = 300
 SAMPLE_PARAGRAPHS = 4000
 #: Fixed words of the wordings that say nothing about licences by themselves, whatever the corpus.
 FUNCTION_WORDS = frozenset("a and any as at be by for if in is it may not of on or that the this to under use with you your".split())
-#: Share of a sampled paragraph's n-grams from which it is like the wordings and no example of text without licence.
+#: Words at most of a piece of a sampled line.
+SAMPLE_WORDS = 40
+#: Share of a sampled piece's n-grams from which it is like the wordings and no example of text without licence.
 ALIKE = 0.3
-#: Share of a name's word pairs that a paragraph must hold to confirm the family.
+#: Share of the word pairs of a name or notice that a paragraph must hold to confirm the family.
 CONFIRM = 0.8
 #: Words from one window over a paragraph to the next; a window has twice as many, so a run of up to
 #: so many words lies whole in one.
@@ -91,13 +151,16 @@ def _rows(spark: SparkSession, values: list[tuple], ddl: str) -> DataFrame:
 
 
 def _pairs(name: str) -> list[str]:
+    """The pairs of neighbouring words that are not function words alone."""
     words = name.split()
-    return [" ".join(words[i : i + 2]) for i in range(len(words) - 1)]
+    return [" ".join(words[i : i + 2]) for i in range(len(words) - 1) if not set(words[i : i + 2]) <= FUNCTION_WORDS]
 
 
 def _templates() -> dict[tuple[str, str], list[str]]:
-    """The distinct word pairs of every (family, name)."""
-    return {(family, name): sorted(set(_pairs(name))) for family, names in NAMES.items() for name in names}
+    """The distinct word pairs of every (family, wording): names, notices, identifiers and near ones of no family."""
+    parts = [(f, n) for table in (NAMES, NOTICES, EXPRESSIONS) for f, names in table.items() for n in names]
+    parts += [*IDENTIFIERS.items(), *((UNKNOWN, text) for text in OTHER_TEXTS)]
+    return {(family, name): sorted(set(_pairs(name))) for family, name in parts}
 
 
 def _has_number(gram: str) -> bool:
@@ -128,7 +191,7 @@ def _gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 
 def find_grams(documents: DataFrame, grams_: list[str]) -> DataFrame:
-    """(text_id, place, column, paragraph, at, gram): where each text holds one of the pairs and triples.
+    """(text_id, place, column, paragraph, at, whole, gram): where each text holds one of the pairs and triples.
 
     ``place`` is the line in which the n-gram starts and ``column`` its word there; ``at`` counts
     the words of its paragraph, which ends at a line without words. ``whole`` is whether it ends in
@@ -140,7 +203,7 @@ def find_grams(documents: DataFrame, grams_: list[str]) -> DataFrame:
         known = {}
         for n, some in sizes.items():
             words, _ = batch_words(pa.array(some, pa.string()))
-            hashes = mix_each(words, n, len(some))
+            hashes = _gram_hashes(words, n)[::n]
             order = np.argsort(hashes)
             known[n] = hashes[order], np.array(some, object)[order]
         for batch in record_batches(batches, 500):
@@ -173,9 +236,6 @@ def find_grams(documents: DataFrame, grams_: list[str]) -> DataFrame:
                     names=["text_id", "place", "column", "paragraph", "at", "whole", "gram"],
                 )
 
-    def mix_each(words: np.ndarray, n: int, count: int) -> np.ndarray:
-        return _gram_hashes(words, n)[::n] if count else np.zeros(0, np.uint64)
-
     lines = documents.where("text IS NOT NULL").select(
         text_key(F.col("text")).alias("text_id"), F.transform(F.split("text", "\n"), plain_words).alias("lines")
     )
@@ -185,7 +245,7 @@ def find_grams(documents: DataFrame, grams_: list[str]) -> DataFrame:
 def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str, float], float]:
     """Weights (gram, class, weight), class intercepts and temperature.
 
-    Positive rows are the names in their wordings, rows of the unknown class the other names; the
+    Positive rows are the names in their wordings, the notices and the short identifiers, rows of the unknown class the other names; the
     class without licence comes from paragraphs of documents whose text hash falls in a fixed part
     of the whole, about ``SAMPLE_DOCUMENTS``, that are not like a licence name. The model's n-grams
     all hold a trigger: a word of the fixed wordings that is no function word or number, so the
@@ -195,12 +255,21 @@ def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str,
     spark = documents.sparkSession
     total = max(documents.count(), 1)
     sample = documents.where(F.pmod(F.xxhash64("text"), F.lit(total)) < SAMPLE_DOCUMENTS)
-    plain = paragraphs(sample).select("words", F.array_join("words", " ").alias("line")).dropDuplicates(["line"])
+    starts = F.sequence(F.lit(0), F.floor((F.size("words") - 1) / SAMPLE_WORDS))
+    pieces = F.transform(starts, lambda i: F.slice("words", i.cast("int") * SAMPLE_WORDS + 1, F.lit(SAMPLE_WORDS)))
+    plain = paragraphs(sample).select(F.explode(pieces).alias("words"))
+    plain = plain.select("words", F.array_join("words", " ").alias("line")).dropDuplicates(["line"])
     plain = stage(plain.orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS), "licence-sample")
     known = [(family, carrier.format(name)) for family, names in NAMES.items() for name in names for carrier in CARRIERS]
     known += [(UNKNOWN, carrier.format(name)) for name in OTHER_NAMES for carrier in CARRIERS]
+    noticed = [(c, text) for table in (NOTICES, EXPRESSIONS) for c, texts in table.items() for text in texts]
+    noticed += [*IDENTIFIERS.items(), *((UNKNOWN, text) for text in OTHER_TEXTS)]
+    noticed += [(c, "spdx license identifier " + name.removeprefix("identifier ")) for c, name in IDENTIFIERS.items()]
+    known += [(c, carrier.format(text)) for c, text in noticed for carrier in NOTICE_CARRIERS]
     own_grams = sorted({" ".join(w[i : i + n]) for _, line in known for w in [line.split()] for n in (2, 3) for i in range(len(w) - n + 1)})
     held = F.size(F.array_intersect(grams(F.col("words")), F.lit(own_grams)))
+    names = F.array(*[F.lit(pairs) for pairs in _templates().values()])
+    plain = plain.where(~F.exists(names, lambda name: F.size(F.array_intersect(grams(F.col("words")), name)) >= CONFIRM * F.size(name)))
     plain = plain.where((held < ALIKE * F.size(grams(F.col("words")))) | (F.size("words") < 2))
     triggers = sorted({word for _, line in known for word in line.split() if word not in FUNCTION_WORDS and not word.isdigit()})
     vocabulary = [gram for gram in own_grams if set(gram.split()) & set(triggers)]
@@ -243,7 +312,7 @@ def scan(documents: DataFrame) -> DataFrame:
     looked for in lines and in paragraphs (up to a line without words), so a statement may be
     wrapped; both are read in windows of twice ``STEP_WORDS`` words that overlap by half. Every
     family counts, one against the class without licence, if its probability reaches one half and
-    one of its names confirms it: with ``CONFIRM`` of the name's pairs, all that hold a number among
+    one of its names, notices or identifiers confirms it: with ``CONFIRM`` of the name's pairs, all that hold a number among
     them, and, if not all pairs are there, no rival name that fits better. A line of a licence class
     of which no pair belongs to a confirmed name is of unknown family. Only n-grams with a trigger
     word have weights and every name holds one, so a line without one can't be of a licence class.
@@ -277,7 +346,7 @@ def scan(documents: DataFrame) -> DataFrame:
     likeness = F.when(F.col("_numbers") == F.col("numbers"), F.col("_held") / F.col("pairs")).otherwise(F.lit(0.0))
     alike = held.groupBy(*keys).agg(F.collect_list(F.struct("family", "name", likeness.alias("similarity"), "rivals", "places")).alias("names"))
     better = lambda x: F.exists("names", lambda y: F.array_contains(x["rivals"], y["name"]) & (y["similarity"] > x["similarity"]))
-    fitting = F.filter("names", lambda x: (x["similarity"] >= CONFIRM) & ((x["similarity"] == 1) | ~better(x)))
+    fitting = F.filter("names", lambda x: (x["family"] != UNKNOWN) & (x["similarity"] >= CONFIRM) & ((x["similarity"] == 1) | ~better(x)))
     confirmed = alike.select(*keys, F.explode(fitting).alias("_name")).select(*keys, "_name.family", "_name.places").join(scores, keys)
     confirmed = confirmed.withColumn("probability", F.col("chances")[F.col("family")]).where(F.col("probability") >= FAMILY_PROBABILITY)
     confirmed = stage(confirmed.select("text_id", "family", "places", "probability"), "licence-confirmed")

@@ -374,6 +374,33 @@ def test_wrapped_and_dual_licences(spark):
     assert (found[8].unknown_paragraphs, found[8].licence_paragraphs, found[2].unknown_paragraphs) == (1, 2, 0)
 
 
+def test_licence_texts_and_identifiers(spark):
+    mit = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), "
+        "to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+        "copies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:"
+    )
+    notice = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {0} Public License as published by\n"
+        "the Free Software Foundation, either version {1} of the License, or\n(at your option) any later version."
+    )
+    bsd = (
+        "Neither the name of the copyright holder nor the names of its\ncontributors may be used to endorse or promote products derived from\n"
+        "this software without specific prior written permission."
+    )
+    cases = {
+        1: (mit, ["mit"]), 2: (notice.format("General", "3"), ["gpl-3.0"]), 3: (notice.format("General", "2"), ["gpl-2.0"]),
+        4: (notice.format("Lesser General", "3"), ["lgpl-3.0"]), 5: (notice.format("Affero General", "3"), []), 6: (bsd, ["bsd-3-clause"]),
+        7: ("// SPDX-License-Identifier: MIT", ["mit"]), 8: ("SPDX-License-Identifier: Apache-2.0 OR MIT", ["apache-2.0", "mit"]),
+        9: ("SPDX-License-Identifier: GPL-2.0-only", ["gpl-2.0"]), 10: ("Licensed under the GNU Affero General Public License, version 3.", []),
+        11: ("GNU Lesser General Public License, version 2.1", []), 12: ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", []), 13: ("Apache-2.0", ["apache-2.0"]),
+    }
+    rows = [(i, t) for i, (t, _) in cases.items()] + [(100 + i, "\n".join(prose(12) for _ in range(8))) for i in range(40)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, DDL)).collect()}
+    assert {i: found[i].licences for i in cases} == {i: e for i, (_, e) in cases.items()}
+    assert found[5].unknown_paragraphs and found[10].unknown_paragraphs
+
+
 # -- 10
 
 
