@@ -69,55 +69,64 @@ def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return chosen
 
 
-def host_edges(pages: DataFrame) -> DataFrame:
-    """(source, target, links) between hosts; a relative link stays on its host.
+def host_edges(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(source, target, links, allowed, blocked) between hosts; a relative link stays on its host.
 
-    Links are counted per task before the shuffle, so a host with a third of all pages sends one
-    row a task and target.
+    ``allowed`` and ``blocked`` count the links whose own url a rule allows or blocks; a link without
+    a path is to ``/``. Links are counted per task before the shuffle, so a host with a third of all
+    pages sends one row a task and target.
     """
     links = pages.select(
         host_of(F.col("url")).alias("source"),
         F.explode(F.regexp_extract_all(F.coalesce(F.col("html"), F.lit("")), F.lit(HREF), F.lit(1))).alias("link"),
     ).where("source <> ''")
-    target = F.when(F.startswith("link", F.lit("//")), host_of(F.concat(F.lit("http:"), F.col("link"))))
-    target = target.when(F.col("link").rlike("(?i)^https?://"), host_of(F.col("link")))
-    target = target.when(~F.col("link").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("source"))
-    return links.select("source", target.alias("target")).where("target <> ''").groupBy("source", "target").agg(
-        F.count(F.lit(1)).alias("links")
+    target = F.when(F.startswith("link", F.lit("//")), F.concat(F.lit("http:"), F.col("link")))
+    target = target.when(F.col("link").rlike("(?i)^https?://"), F.col("link"))
+    target = target.when(~F.col("link").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(F.lit("http://"), F.col("source")))
+    urls = links.select("source", target.alias("url"))
+    urls = urls.select("source", host_of(F.col("url")).alias("target"), path_of(F.col("url")).alias("path")).where("target <> ''")
+    path = F.when(F.col("path") == "", F.lit("/")).otherwise(F.col("path"))
+    verdict = rule_for(F.col("target"), path, rules)["verdict"]
+    return urls.select("source", "target", verdict.alias("verdict")).groupBy("source", "target").agg(
+        F.count(F.lit(1)).alias("links"), F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked")
     )
 
 
-def spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """(kind, host, score): personalised PageRank of each kind of seed.
+def spread(seeds: DataFrame, links: DataFrame) -> DataFrame:
+    """(kind, host, score): trust along and distrust against the links, from the seeds of each kind.
 
-    ``seeds`` has (kind, host, weight), ``edges`` (kind, source, target, links) in the direction in
-    which that kind spreads. Weights are not scaled to a sum of one, so a score reads the same in a
-    graph of any size: a seed has its weight, a host that one seed alone passes on to ``FOLLOW`` of
-    it. Links of a host to itself say nothing and are left out. Ends when no score moves by a unit
-    of the last digit, or after ``ROUNDS`` rounds.
+    ``seeds`` has (kind, host, weight), ``links`` (source, target, links). Both kinds are shared by
+    the linking host's links. Trust is personalised PageRank: a host passes ``FOLLOW`` of its trust
+    to those it links to. A host's distrust is its weight and, for the rest up to one, ``FOLLOW`` of
+    the mean distrust of what it links to, so it is not less where many others link to the same
+    host. Weights are not scaled to a sum of one, so a score reads the same in a graph of any size.
+    Links of a host to itself say nothing and are left out. Ends when no score moves by a unit of
+    the last digit, or after ``ROUNDS`` rounds.
     """
-    edges = edges.where("source <> target").groupBy("kind", "source", "target").agg(F.sum("links").alias("links"))
-    edges = stage(edges, "host-links")
-    out = stage(edges.groupBy("kind", "source").agg(F.sum("links").alias("all_links")), "host-out")
-    shares = stage(
-        edges.join(out, ["kind", "source"]).select("kind", "source", "target", (F.col("links") / F.col("all_links")).alias("share")),
-        "host-shares",
+    links = stage(links.where("source <> target").groupBy("source", "target").agg(F.sum("links").alias("links")), "host-links")
+    out = stage(links.groupBy("source").agg(F.sum("links").alias("all_links")), "host-out")
+    shared = links.join(out, "source").withColumn("share", F.col("links") / F.col("all_links"))
+    shares = shared.select(F.lit("trust").alias("kind"), "source", "target", "share").unionByName(
+        shared.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "share")
     )
-    nodes = edges.select("kind", F.col("source").alias("host")).union(edges.select("kind", F.col("target").alias("host")))
+    shares = stage(shares, "host-shares")
+    nodes = shares.select("kind", F.col("source").alias("host")).union(shares.select("kind", F.col("target").alias("host")))
     base = stage(
         seeds.select("kind", "host", "weight").unionByName(nodes.select("kind", "host", F.lit(0.0).alias("weight")))
         .groupBy("kind", "host").agg(F.round(F.sum("weight"), DIGITS).alias("weight")),
         "host-seeds",
     )
     scores = base.select("kind", "host", F.col("weight").alias("score"))
+    room = F.when(F.col("kind") == "distrust", 1 - F.col("weight")).otherwise(F.lit(1.0))
     for _ in range(ROUNDS // ROUNDS_PER_STAGE):
         before = scores.select("kind", "host", F.col("score").alias("before"))
         for _ in range(ROUNDS_PER_STAGE):
             moved = shares.join(scores.withColumnRenamed("host", "source"), ["kind", "source"]).select(
-                "kind", F.col("target").alias("host"), (F.col("score") * F.col("share")).alias("part")
+                "kind", F.col("target").alias("host"), (F.col("score") * F.col("share")).alias("part"), F.lit(0.0).alias("weight")
             )
-            held = base.select("kind", "host", (F.col("weight") / FOLLOW).alias("part"))
-            scores = moved.unionByName(held).groupBy("kind", "host").agg(F.round(FOLLOW * F.sum("part"), DIGITS).alias("score"))
+            held = base.select("kind", "host", F.lit(0.0).alias("part"), "weight")
+            sums = moved.unionByName(held).groupBy("kind", "host").agg(F.sum("part").alias("part"), F.sum("weight").alias("weight"))
+            scores = sums.select("kind", "host", F.round(F.col("weight") + room * FOLLOW * F.col("part"), DIGITS).alias("score"))
         scores = stage(scores, "host-scores")
         if not scores.join(before, ["kind", "host"]).where("score <> before").limit(1).count():
             break
@@ -128,9 +137,10 @@ def judge_pages(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Host, path, rule and verdict of every page.
 
     A page that a rule fits gets the rule's verdict. The share of a host's pages that rules allow
-    makes it a trusted seed, the share they block a blocked seed. Trust follows links from trusted
-    hosts; distrust follows them backwards, to hosts that link to blocked ones. Other pages are
-    blocked where their host's distrust reaches the threshold and exceeds its trust.
+    makes it a trusted seed, the share they block a blocked seed; of a host without a page it is the
+    share of the links to it. Trust follows links from trusted hosts; distrust follows them
+    backwards, to hosts that link to blocked ones. Other pages are blocked where their host's
+    distrust reaches the threshold and exceeds its trust.
 
     A null url or one without ``://`` has no host, takes no part in the graph and is allowed.
     """
@@ -140,14 +150,15 @@ def judge_pages(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     per_host = stage(
         judged.where("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust")), "host-shares"
     )
+    links = stage(host_edges(pages, rules), "host-edges")
+    linked = links.groupBy(F.col("target").alias("host")).agg(
+        (F.sum("allowed") / F.sum("links")).alias("trust"), (F.sum("blocked") / F.sum("links")).alias("distrust")
+    )
+    per_host = stage(per_host.unionByName(linked.join(per_host.select("host"), "host", "left_anti")), "host-seed-shares")
     seeds = per_host.select(F.lit("trust").alias("kind"), "host", F.col("trust").alias("weight")).unionByName(
         per_host.select(F.lit("distrust").alias("kind"), "host", F.col("distrust").alias("weight"))
     )
-    links = stage(host_edges(pages), "host-edges")
-    edges = links.select(F.lit("trust").alias("kind"), "source", "target", "links").unionByName(
-        links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "links")
-    )
-    scores = spread(seeds, edges)
+    scores = spread(seeds, links)
     hosts = scores.groupBy("host").agg(
         *[F.sum(F.when(F.col("kind") == kind, F.col("score"))).alias(f"host_{kind}") for kind in ("trust", "distrust")]
     )

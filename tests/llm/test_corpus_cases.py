@@ -239,6 +239,20 @@ def test_url_verdicts(spark):
     assert urls.judge_pages(pages).count() == len(rows) and urls.judge_pages(pages.where("false")).count() == 0
 
 
+def test_url_distrust_of_farms(spark):
+    """Linkers of a blocked hub are blocked however many they are, with or without a page of the hub."""
+    link = lambda *to: "".join(f'<a href="{t}">t</a>' for t in to)
+    rows = [(0, "http://crawled.net/a", "")]
+    rows += [(1 + i, f"http://pair{i}.com/", link("http://crawled.net/")) for i in range(2)]
+    rows += [(10 + i, f"http://farm{i}.com/", link("http://uncrawled.net")) for i in range(100)]
+    rows += [(200, "http://mixed.com/", link("http://uncrawled.net/x", "http://a.com/", "http://b.com/", "http://c.com/"))]
+    rows += [(201, "http://second.com/", link("http://farm0.com/")), (202, "http://plain.com/", link("http://a.com/", "http://mixed.com/"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in urls.judge_pages(pages).collect()}
+    assert {i for i, r in found.items() if r.verdict == "block"} == {0, 1, 2, *range(10, 110), 201}
+    assert (found[1].host_distrust, found[10].host_distrust, found[200].host_distrust) == (0.85, 0.85, 0.2125)
+
+
 # -- 6
 
 
