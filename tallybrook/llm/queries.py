@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import bpe, kdsearch, licenses, neardup, quality, shards, sql, suffixes, tiling, urls, warc
+from tallybrook.llm import bpe, fim, kdsearch, licenses, neardup, pagetext, quality, shards, sql, suffixes, tiling, urls, warc, whitening
 from tallybrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first 16 whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 16)
+
+
+@query("op12_page_text", sql.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pagetext.extract_text(table(spark, sf_dir, "pages")).drop("n_template")
+
+
+@query("op13_fill_in_middle", sql.OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cuts, form, and digests of the output and of the text rebuilt from it."""
+    outputs = fim.transform(table(spark, sf_dir, "documents"), fim.Setting(seed=7, rate=100, spm_rate=50))
+    return fim.restored(outputs).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

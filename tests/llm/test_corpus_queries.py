@@ -27,7 +27,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_decontamination(spark, sf_dir, documents):
