@@ -60,7 +60,7 @@ KEPT = frozenset(["html", "body", "article", "main"])
 #: What keeps an end or an implied end from reaching further out.
 BARRIERS = {tag: SCOPES - ended for tag, ended in ENDED_BY.items()}
 #: A tag that the page's end cuts is markup, too.
-CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
+TAG_START = re.compile(r"<[a-zA-Z/!?]")
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd figcaption ul ol dl".split())
 
 READ_DDL = "host string, signature binary, subtrees array<binary>"
@@ -238,7 +238,9 @@ class _Page(HTMLParser):
 def read_page(html: str | None) -> _Page:
     """The elements of a page, whatever is wrong with its markup."""
     page = _Page()
-    page.feed(CUT_TAG.sub("", (html or "").replace("\0", "\ufffd")))
+    html = (html or "").replace("\0", "\ufffd")
+    cut = TAG_START.search(html, html.rfind(">") + 1)
+    page.feed(html[: cut.start()] if cut else html)
     return page.finish()
 
 
