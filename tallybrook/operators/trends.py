@@ -34,6 +34,20 @@ def rolling_sum(
     return df.withColumn(name, F.sum(value).over(window))
 
 
+def rolling_sum_of_days(
+    df: DataFrame, value: str, by: Sequence[str], day: str, name: str, days: int = 6
+) -> DataFrame:
+    """Sum over the day of the row and the ``days`` before it in the calendar, whichever of them are
+    present; rows without a day are summed among themselves. An optional extension: ``rolling_sum``
+    counts rows.
+
+    A RANGE frame on the day's number: no missing day is made up, and a row's own day counts with all
+    of its rows.
+    """
+    window = Window.partitionBy(*by).orderBy(F.unix_date(day)).rangeBetween(-days, Window.currentRow)
+    return df.withColumn(name, F.sum(value).over(window))
+
+
 def previous(df: DataFrame, value: str, by: Sequence[str], order: str, name: str) -> DataFrame:
     """The value of the previous row present in each series."""
     return df.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(order)))

@@ -105,11 +105,12 @@ def ingest_pages(
 def build_models(
     spark: SparkSession, table: str, silver_path: str, gold_path: str, view: str = "bronze_questions"
 ) -> None:
-    """Rebuild silver from the loaded table, then gold from the written silver."""
+    """Rebuild silver from the loaded table, then gold from the written silver. Each is replaced when
+    its rebuild is complete; the version before stays for readers that are still at it."""
     silver = models.silver(models.bronze(read_table(spark, table), view))
-    models.write_silver(silver, silver_path)
-    written = spark.read.schema(silver.schema).parquet(silver_path)
-    models.write_gold(models.gold(written), gold_path)
+    models.write_silver(silver, silver_path, keep=1)
+    written = models.read_model(spark, silver_path, silver.schema)
+    models.write_gold(models.gold(written), gold_path, keep=1)
 
 
 def validate_models(
@@ -119,7 +120,7 @@ def validate_models(
     which suites passed. ``max_rows`` is the row count that the suites accept at most."""
     bronze = models.bronze(read_table(spark, table))
     results = quality.run_suites(bronze, suites.with_max_rows(suites.BRONZE_SUITES, max_rows)).unionByName(
-        quality.run_suites(spark.read.parquet(silver_path), suites.with_max_rows(suites.SILVER_SUITES, max_rows))
+        quality.run_suites(models.read_model(spark, silver_path), suites.with_max_rows(suites.SILVER_SUITES, max_rows))
     )
     stamp = quality.write_results(results, results_path)
     kept = spark.read.schema(quality.RESULT_DDL).json(results_path).filter(F.col("run_stamp") == stamp)

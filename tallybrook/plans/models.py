@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallybrook.functions.metrics import engagement, pct_change, zero_if_null
 from tallybrook.functions.text import clean_text, has_text
 from tallybrook.functions.time import epoch_date, epoch_hour, epoch_ts, hours_between
 from tallybrook.operators.latest import latest_by_key
 from tallybrook.operators.trends import daily, rolling_sum
+from tallybrook.sources.versions import new_version_path, publish, read_version
 
 
 def bronze(df: DataFrame, view: str | None = None) -> DataFrame:
@@ -99,27 +101,38 @@ def hourly(df: DataFrame) -> DataFrame:
     )
 
 
-def write_clustered(df: DataFrame, path: str, day: str, cluster: Sequence[str]) -> None:
+def write_clustered(df: DataFrame, path: str, day: str, cluster: Sequence[str], keep: int = 0) -> None:
     """Rebuild a table partitioned by day and sorted by the cluster columns inside its files.
 
+    The rebuild is written as a version of its own and published when it is complete, so one that dies
+    leaves the table as it was; read it with ``read_model``. ``keep`` former versions stay for readers
+    that began before.
+
     The rebalance gathers each day but lets adaptive execution split a day too large for one task;
     sorted files give row-group min/max skipping on the cluster columns.
     """
+    version = new_version_path(path)
     (
         df.hint("rebalance", day)
         .sortWithinPartitions(day, *cluster)
-        .write.mode("overwrite")
+        .write.mode("errorifexists")
         .partitionBy(day)
-        .parquet(path)
+        .parquet(version)
     )
+    publish(df.sparkSession, path, version, keep)
+
+
+def write_silver(df: DataFrame, path: str, keep: int = 0) -> None:
+    write_clustered(df, path, "created_date", ["sentiment", "is_answered", "is_closed"], keep)
 
 
-def write_silver(df: DataFrame, path: str) -> None:
-    write_clustered(df, path, "created_date", ["sentiment", "is_answered", "is_closed"])
+def write_gold(df: DataFrame, path: str, keep: int = 0) -> None:
+    write_clustered(df, path, "report_date", ["sentiment"], keep)
 
 
-def write_gold(df: DataFrame, path: str) -> None:
-    write_clustered(df, path, "report_date", ["sentiment"])
+def read_model(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The published silver or gold table."""
+    return read_version(spark, path, schema, None if schema is None else schema.names)
 
 
 def total_rows(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tallybrook.operators.trends import (
     previous,
     rank_within,
     rolling_sum,
+    rolling_sum_of_days,
 )
 from tallybrook.plans import models
 from tallybrook.registry import sql
@@ -147,7 +148,7 @@ def silver(spark, sf_dir):
 def write_silver(spark, sf_dir):
     path, frame = run_dir(spark, "silver"), _silver(spark, sf_dir)
     models.write_silver(frame, path)
-    return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+    return models.read_model(spark, path, frame.schema)
 
 
 @query("daily_counts", sql.on_daily("SELECT report_date, sentiment, post_count FROM daily"))
@@ -187,6 +188,20 @@ def rolling_7d(spark, sf_dir):
     )
 
 
+@query(
+    "rolling_7d_calendar",
+    sql.on_daily(
+        """SELECT report_date, sentiment, post_count, CAST(sum(post_count) OVER (PARTITION BY sentiment ORDER BY report_date
+             RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW) AS BIGINT) AS rolling_7d_calendar_post_count
+           FROM daily WHERE dayofyear(report_date) % 4 <> 2"""
+    ),
+)
+def rolling_7d_calendar(spark, sf_dir):
+    """Optional extension: seven days, not rows; every fourth day is left out, so that the two differ."""
+    some_days = _counts(spark, sf_dir).filter(F.dayofyear("report_date") % 4 != 2)
+    return rolling_sum_of_days(some_days, "post_count", ["sentiment"], "report_date", "rolling_7d_calendar_post_count")
+
+
 @query("prev_day", sql.on_gold("SELECT report_date, sentiment, post_count, prev_post_count FROM windowed"))
 def prev_day(spark, sf_dir):
     return previous(_counts(spark, sf_dir), "post_count", ["sentiment"], "report_date", "prev_post_count")
@@ -211,7 +226,7 @@ def gold(spark, sf_dir):
 def write_gold(spark, sf_dir):
     path, frame = run_dir(spark, "gold"), gold(spark, sf_dir)
     models.write_gold(frame, path)
-    return spark.read.schema(frame.schema).parquet(path).select(*frame.columns)
+    return models.read_model(spark, path, frame.schema)
 
 
 @query("total_rows", sql.on_raw("SELECT count(*) AS total_rows FROM raw"))
