@@ -86,7 +86,11 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tokens(data: np.ndarray, starts_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the tokens between white space; a token also starts at starts_at."""
+    """Hashes, starts and ends of the tokens between white space; a token also starts at starts_at.
+
+    A token's hash adds up one well-mixed value for each byte and its place in the token: no algebra
+    links the values, as powers modulo 2**64 do, where some texts collide for every base.
+    """
     letter = data > 32
     first = letter.copy()
     first[1:] &= ~letter[:-1]
@@ -95,8 +99,14 @@ def _tokens(data: np.ndarray, starts_at: np.ndarray) -> tuple[np.ndarray, np.nda
     last = letter.copy()
     last[:-1] &= ~letter[1:] | first[1:]
     ends = np.flatnonzero(last) + 1
-    sums, (_, down) = prefix_sums(data, BASES[0]), powers(BASES[0], len(data))
-    return mix((sums[ends] - sums[starts]) * down[starts]), starts, ends
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts, ends
+    sizes = ends - starts
+    at = np.flatnonzero(letter)
+    place = (at - np.repeat(starts, sizes)).astype(np.uint64)
+    values = mix(place * np.uint64(BASES[0]) + (data[at].astype(np.uint64) + np.uint64(1)) * np.uint64(BASES[1]))
+    sums = np.add.reduceat(values, np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return mix(sums + sizes.astype(np.uint64) * np.uint64(BASES[0])), starts, ends
 
 
 def batch_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,19 +110,38 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
     return columns.mapInArrow(build, SETS_DDL)
 
 
+def exact_shingles(words: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's set of runs of ``size`` words, as numbers that are equal only if all words are, and
+    the rows' offsets; a row of fewer words has one run. Rows must have words."""
+    split = pc.split_pattern(words, " ")
+    rows = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    word, kinds = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1, len(coded.dictionary) + 1
+    counts = np.maximum(np.diff(rows) - size + 1, 1)
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    row = np.repeat(np.arange(len(counts)), counts)
+    start = rows[row] + np.arange(offsets[-1]) - offsets[row]
+    stop = np.minimum(start + size, rows[row + 1])
+    code = word[start]
+    for i in range(1, size):
+        following = np.where(start + i < stop, word[np.minimum(start + i, len(word) - 1)], 0)
+        code = np.unique(code * kinds + following, return_inverse=True)[1]
+    return _unique_sets(code, offsets)
+
+
 def _links_in_cell(cell: pa.Table) -> pa.Table:
     """Verified links among the classes of a cell: links a class (weighted by documents) and its root.
 
-    A pair is looked at once: where two bands agree it is still one pair. In a cell of two blocks
+    Hashes only prune; what is left is compared by the words themselves. A pair is looked at once: where two bands agree it is still one pair. In a cell of two blocks
     only pairs between the blocks count.
     """
     cell = cell.combine_chunks()
     n = cell.num_rows
     sets, offsets = _unique_sets(*batch_shingles(*batch_words(cell["words"].chunk(0)), WORDS))
-    _, codes = np.unique(sets, return_inverse=True)
+    codes, exact = exact_shingles(cell["words"].chunk(0), WORDS)
     flags = np.zeros(int(codes.max(initial=0)) + 1, bool)
     signature, least = signatures(sets, offsets), posterior_keep(NUMERATOR / DENOMINATOR, TOLERANCE, HASHES)
-    keys, size = band_keys(signature), np.diff(offsets)
+    keys, size, offsets = band_keys(signature), np.diff(exact), exact
     number, copies = cell["class_no"].to_numpy(), cell["copies"].to_numpy()
     block, between = cell["block"].to_numpy(), cell["low"][0].as_py() != cell["high"][0].as_py()
     partners = []  # for each band the rows in order of key, and where a row's key starts and ends

@@ -1,12 +1,13 @@
 """Repeated byte strings by sorted suffixes.
 
-A string of ``LENGTH`` bytes is repeated if it starts at two places. Sorting every suffix of a corpus
-would move each byte hundreds of times, so suffixes are taken at anchors: of the ``SEED``-byte seeds
-inside a window of ``LENGTH`` bytes the one of least hash, the first of equals, is its anchor. Equal
+A string of a fixed length is repeated if it starts at two places. Sorting every suffix of a corpus
+would move each byte hundreds of times, so suffixes are taken at anchors: of the seeds (short strings)
+inside a window of that length the one of least hash, the first of equals, is its anchor. Equal
 windows have equal anchors at equal distance. Of a run of windows with one anchor, all hold the same
 core (the bytes common to all windows that the anchor could have), and together they span one string.
 
-One level sorts (core, span) fingerprints, the leading tokens of these suffixes: sampled splitters
+One level sorts (core, span) digests, the leading tokens of these suffixes (cryptographic ones, 128 bits
+together, so that equal digests mean equal bytes): sampled splitters
 range-partition them, a bucket is sorted by multikey quicksort and neighbours are compared; groups at
 a bucket's ends are settled with those of the buckets beside it. A core that nobody shares has no
 repeated window. A span that two share is repeated as a whole. Only spans that share a core but not
@@ -17,8 +18,10 @@ down to single windows.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +29,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import BASES, CHUNK, byte_batches, mix, powers, prefix_sums, stage, string_bytes, text_key
+from tallybrook.session import run_dir
 
-LENGTH = 400
-SEED = 64
-#: Windows that one anchor can have, and the grids of the levels after the first.
-REACH = LENGTH - SEED + 1
+
+@dataclass(frozen=True)
+class Window:
+    """Bytes of a repeated string and of the seeds in it; at most 512 windows may share an anchor."""
+
+    length: int
+    seed: int
+
+    @property
+    def reach(self) -> int:
+        """Windows that one anchor can have."""
+        return self.length - self.seed + 1
+
+
+#: The strings of ``remove_repeats``, and those that passages of natural language are made of.
+STRINGS = Window(400, 64)
+PASSAGES = Window(200, 32)
+#: A repeated passage is cut from so many words on, or so many bytes where words are not spaced.
+PASSAGE_WORDS, PASSAGE_BYTES = 50, 400
+#: The grids of the levels after the first.
 WIDTHS = (42, 6, 1)
 #: Bytes of text, about, in one bucket of the table of texts; suffixes in one range partition.
 BUCKET_BYTES = 64 << 20
@@ -45,44 +65,35 @@ FOUND_DDL = f"kind int, {ITEMS_DDL}"
 CUT_DDL = "text_id binary, n_removed long, n_spans long, cut_sha256 string, kept_text string"
 
 
-def _fingerprints(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Fingerprints of data[start:end] for short strings, in chunks of bounded memory."""
-    out = np.zeros(len(starts), np.uint64)
-    order = np.argsort(starts, kind="stable")
-    at = 0
-    while at < len(order):
-        begin = int(starts[order[at]])
-        stop = int(np.searchsorted(starts[order], begin + CHUNK))
-        rows = order[at:stop]
-        sums = prefix_sums(data[begin : int(ends[rows].max())], base)
-        _, down = powers(base, len(sums))
-        here = starts[rows] - begin
-        out[rows] = mix((sums[ends[rows] - begin] - sums[here]) * down[here] + (ends[rows] - starts[rows]).astype(np.uint64))
-        at = stop
-    return out
+def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: bytes) -> np.ndarray:
+    """64 bits of a digest of every data[start:end]; of another digest for another kind."""
+    view, blake = memoryview(data), hashlib.blake2b
+    parts = [blake(view[a:b], digest_size=8, person=kind).digest() for a, b in zip(starts.tolist(), ends.tolist())]
+    return np.frombuffer(b"".join(parts), np.uint64)
 
 
-def _runs(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+def _runs(data: np.ndarray, rows: np.ndarray, window: Window) -> tuple[np.ndarray, ...]:
     """(row, anchor, first start, last start) of the runs of windows with one anchor.
 
     A run also ends with a chunk; the parts are then told apart on the next level.
     """
-    found = []
+    found, length, seed, reach = [], window.length, window.seed, window.reach
     for at in range(int(rows[0]), int(rows[-1]), CHUNK):
-        stop = min(at + CHUNK, int(rows[-1]) - LENGTH + 1)
+        stop = min(at + CHUNK, int(rows[-1]) - length + 1)
         if stop <= at:
             break
-        part = data[at : stop + LENGTH - 1]
+        part = data[at : stop + length - 1]
+        # This hash only picks anchors: equal seeds have equal ones, and nothing else hangs on it.
         sums, (_, down) = prefix_sums(part, BASES[0]), powers(BASES[0], len(part))
-        seeds = len(part) - SEED + 1
-        least = mix((sums[SEED:] - sums[:seeds]) * down[:seeds])
+        seeds = len(part) - seed + 1
+        least = mix((sums[seed:] - sums[:seeds]) * down[:seeds])
         bits = np.uint64(CHUNK.bit_length() + 1)
         least = (least >> bits << bits) | np.arange(seeds, dtype=np.uint64)
         width = 1
-        while width * 2 <= REACH:
+        while width * 2 <= reach:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
-        least = np.minimum(least[: stop - at], least[REACH - width : REACH - width + stop - at])
+        least = np.minimum(least[: stop - at], least[reach - width : reach - width + stop - at])
         anchor = (least & np.uint64((1 << int(bits)) - 1)).astype(np.int64) + at
         start = np.arange(at, stop)
         row = np.searchsorted(rows, start, "right") - 1
@@ -91,7 +102,7 @@ def _runs(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(start)) - 1
         row, anchor, first, last = row[first], anchor[first], start[first], start[last]
-        last = np.minimum(last, rows[row + 1] - LENGTH)  # windows end with their text
+        last = np.minimum(last, rows[row + 1] - length)  # windows end with their text
         whole = last >= first
         found.append((row[whole], anchor[whole], first[whole], last[whole]))
     if not found:
@@ -135,18 +146,21 @@ def _emit(row, number, copies, anchor, first, last, core, span, starts) -> pa.Re
     )
 
 
-def _first_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    with np.errstate(over="ignore"):
-        for batch in byte_batches(batches, "data"):
-            data, rows = string_bytes(batch["data"])
-            row, anchor, first, last = _runs(data, rows)
-            core = _fingerprints(data, anchor, anchor + SEED, BASES[0])
-            span = _fingerprints(data, first, last + LENGTH, BASES[1])
-            number, copies = batch["text_no"].to_numpy(), batch["copies"].to_numpy()
-            yield _emit(row, number, copies[row], anchor, first, last, core, span, rows)
+def _first_level(window: Window):
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in byte_batches(batches, "data"):
+                data, rows = string_bytes(batch["data"])
+                row, anchor, first, last = _runs(data, rows, window)
+                core = _digests(data, anchor, anchor + window.seed, b"core")
+                span = _digests(data, first, last + window.length, b"span")
+                number, copies = batch["text_no"].to_numpy(), batch["copies"].to_numpy()
+                yield _emit(row, number, copies[row], anchor, first, last, core, span, rows)
 
+    return expand
 
-def _next_level(width: int):
+
+def _next_level(window: Window, width: int):
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in byte_batches(batches, "data"):
@@ -161,9 +175,9 @@ def _next_level(width: int):
                 step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + (least // width)[item]
                 low, high = np.maximum(step * width, least[item]), np.minimum(step * width + width - 1, most[item])
                 at = anchor[item] + rows[row[item]]
-                core = _fingerprints(data, at - step * width, at - (step * width + width - 1) + LENGTH, BASES[0])
+                core = _digests(data, at - step * width, at - (step * width + width - 1) + window.length, b"core")
                 core = mix(core + step.astype(np.uint64))
-                span = _fingerprints(data, at - high, at - low + LENGTH, BASES[1])
+                span = _digests(data, at - high, at - low + window.length, b"span")
                 yield _emit(
                     row[item], batch["text_no"].to_numpy(), several[item] + 1, at, at - high, at - low, core, span, rows
                 )
@@ -232,8 +246,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def compare_suffixes(items: DataFrame, parts: int) -> tuple[DataFrame, DataFrame]:
-    """(runs that are repeated, runs to look at more closely) of a level's items."""
-    splits = items.repartitionByRange(parts, "core", "span", "owner", "place")
+    """(runs that are repeated, runs to look at more closely) of a level's items.
+
+    The items are written first: sampling the splitters then reads them instead of making them twice.
+    """
+    splits = stage(items, "suffix-items").repartitionByRange(parts, "core", "span", "owner", "place")
     found = stage(splits.mapInArrow(_compare, FOUND_DDL), "suffix-groups")
     boundary = found.where(F.col("kind") == AT_BOUNDARY)
     spans = boundary.groupBy("core", "span").agg(
@@ -262,39 +279,82 @@ def compare_suffixes(items: DataFrame, parts: int) -> tuple[DataFrame, DataFrame
     return runs, deeper
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the bytes that repeated windows cover. ``kept_text`` leaves out the parts of a
-    character that a cut splits."""
-    for batch in batches:
-        rows = []
-        for text_id, data, runs in zip(batch["text_id"], batch["data"], batch["runs"]):
-            data, kept, at, removed, spans = memoryview(data.as_buffer()), [], 0, 0, 0
-            pairs = np.sort(np.array([(r["first"], r["last"] + LENGTH) for r in runs.as_py()], np.int64).view("i8,i8").ravel())
-            end = -1
-            for first, stop in pairs.tolist():
-                if first > end:
-                    kept.append(data[at:first])
-                    spans += 1
-                    end = first
-                if stop > end:
-                    removed += stop - end
-                    at = end = stop
-            kept.append(data[at:])
-            kept = [bytes(part) for part in kept]
-            text = "".join(part.decode("utf-8", "ignore") for part in kept)
-            rows.append((text_id.as_py(), removed, spans, hashlib.sha256(b"".join(kept)).hexdigest(), text))
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        columns = list(zip(*rows)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in CUT_DDL.split(", ")])
-
-
-def cut_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
+def _passage(data: memoryview, first: int, stop: int) -> tuple[int, int] | None:
+    """The whole words of a repeated run, as a range; None if it is no passage."""
+    inside = bytes(data[first:stop])
+    low, high = 0, len(inside)
+    if first and data[first - 1] > 32 and inside[:1].strip():
+        cut = re.search(rb"\s", inside)
+        low = cut.start() if cut else low
+    if stop < len(data) and data[stop] > 32 and inside[-1:].strip():
+        cut = re.search(rb"\s\S*\Z", inside[-4096:])
+        high = high - len(cut.group()) if cut else high
+    if high > low and len(inside[low:high].split()) >= PASSAGE_WORDS:
+        return first + low, first + high
+    return (first, stop) if stop - first >= PASSAGE_BYTES else None
+
+
+def _cut(window: Window, passages: bool):
+    """Remove the bytes that repeated windows cover, or of these only passages. ``kept_text`` leaves
+    out the parts of a character that a cut splits."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text_id, data, runs in zip(batch["text_id"], batch["data"], batch["runs"]):
+                data, kept, at, removed = memoryview(data.as_buffer()), [], 0, 0
+                pairs = np.sort(np.array([(r["first"], r["last"] + window.length) for r in runs.as_py()], np.int64).view("i8,i8").ravel())
+                merged = []
+                for first, stop in pairs.tolist():
+                    if merged and first <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], stop)
+                    else:
+                        merged.append([first, stop])
+                if passages:
+                    merged = [p for p in (_passage(data, *m) for m in merged) if p]
+                for first, stop in merged:
+                    kept.append(bytes(data[at:first]))
+                    removed += stop - first
+                    at = stop
+                kept.append(bytes(data[at:]))
+                text = "".join(part.decode("utf-8", "ignore") for part in kept)
+                rows.append((text_id.as_py(), removed, len(merged), hashlib.sha256(b"".join(kept)).hexdigest(), text))
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in CUT_DDL.split(", ")])
+
+    return cut
+
+
+def repeated_runs(texts: DataFrame, window: Window, parts: int) -> DataFrame:
+    """(text_no, first, last): the starts of the first and last of consecutive windows that are all
+    repeated, for texts in a table bucketed by ``text_id``."""
+    numbers = texts.select("text_no", "text_id")
+    items = texts.where(F.octet_length("data") >= window.length).select("text_no", "copies", "data").mapInArrow(_first_level(window), ITEMS_DDL)
+    runs, deeper = compare_suffixes(items, parts)
+    for width in WIDTHS:
+        places = deeper.groupBy(F.shiftright("owner", 1).alias("text_no")).agg(
+            F.collect_list(F.struct("place", F.col("owner").bitwiseAND(1).alias("several"))).alias("wanted")
+        )
+        wanted = numbers.join(places, "text_no").select("text_id", "wanted.place", "wanted.several")
+        asked = texts.join(wanted.hint("shuffle_hash"), "text_id").select(
+            "text_no", "data", F.col("place").alias("places"), "several"
+        )
+        more, deeper = compare_suffixes(asked.mapInArrow(_next_level(window, width), ITEMS_DDL), parts)
+        runs = runs.unionByName(more)
+    return runs
+
+
+def cut_repeats(documents: DataFrame, window: Window = STRINGS, passages: bool = False, with_text: bool = False) -> DataFrame:
     """(text_id, n_bytes, n_removed, n_spans, kept_sha256) of every distinct text, for a join by
     ``text_key``; ``with_text`` adds what stays as ``kept_text``, null where that is the whole text.
 
-    Equal texts are worked on once, and count as repeats of each other. Null texts have no row here;
-    texts below ``LENGTH`` bytes have nothing to lose. Texts are kept in a table bucketed by their id,
-    so the levels join with it without moving texts again.
+    Strings of ``window.length`` bytes that start twice go; with ``passages`` only where what they
+    cover, taken together, is a passage of ``PASSAGE_WORDS`` words or ``PASSAGE_BYTES`` bytes, cut at
+    whole words. Equal texts are worked on once, and count as repeats of each other. Null texts have no
+    row here; shorter texts have nothing to lose. Texts are kept in a table bucketed by their id in the
+    shared folder, so the levels join with it without moving texts again; it goes in the end, whatever
+    happens.
     """
     spark = documents.sparkSession
     data = F.encode("text", "UTF-8")
@@ -306,36 +366,25 @@ def cut_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
     )
     name = f"suffix_texts_{uuid.uuid4().hex}"
     texts = texts.withColumn("text_no", F.monotonically_increasing_id()).withColumn("kept_sha256", F.sha2("data", 256))
-    texts.write.option("compression", "zstd").bucketBy(buckets, "text_id").saveAsTable(name)
-    texts = spark.table(name)
-    numbers = texts.select("text_no", "text_id")
-
-    parts = max(default, total // (REACH // 2) // PART_ROWS + 1)
-    items = texts.where(F.octet_length("data") >= LENGTH).select("text_no", "copies", "data").mapInArrow(_first_level, ITEMS_DDL)
-    runs, deeper = compare_suffixes(items, parts)
-    for width in WIDTHS:
-        places = deeper.groupBy(F.shiftright("owner", 1).alias("text_no")).agg(
-            F.collect_list(F.struct("place", F.col("owner").bitwiseAND(1).alias("several"))).alias("wanted")
-        )
-        wanted = numbers.join(places, "text_no").select("text_id", "wanted.place", "wanted.several")
-        asked = texts.join(wanted.hint("shuffle_hash"), "text_id").select(
-            "text_no", "data", F.col("place").alias("places"), "several"
+    try:
+        texts.write.option("compression", "zstd").option("path", run_dir(spark, "suffix-texts")).bucketBy(buckets, "text_id").saveAsTable(name)
+        texts = spark.table(name)
+        numbers = texts.select("text_no", "text_id")
+        runs = repeated_runs(texts, window, max(default, total // (window.reach // 2) // PART_ROWS + 1))
+        per_text = runs.groupBy("text_no").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+        per_text = numbers.join(per_text, "text_no").select("text_id", "runs")
+        cut = texts.join(per_text.hint("shuffle_hash"), "text_id").select("text_id", "data", "runs").mapInArrow(_cut(window, passages), CUT_DDL)
+        cut = cut.where("n_removed > 0")
+        cut = stage(cut if with_text else cut.drop("kept_text"), "cut-texts", "zstd")
+        zero = F.lit(0).cast("long")
+        whole = texts.select("text_id", F.octet_length("data").cast("long").alias("n_bytes"), "kept_sha256")
+        done = whole.join(cut, "text_id", "left").select(
+            "text_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
+            F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), *(["kept_text"] if with_text else []),
         )
-        more, deeper = compare_suffixes(asked.mapInArrow(_next_level(width), ITEMS_DDL), parts)
-        runs = runs.unionByName(more)
-    per_text = runs.groupBy("text_no").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    per_text = numbers.join(per_text, "text_no").select("text_id", "runs")
-    cut = texts.join(per_text.hint("shuffle_hash"), "text_id").select("text_id", "data", "runs").mapInArrow(_cut, CUT_DDL)
-    cut = stage(cut if with_text else cut.drop("kept_text"), "cut-texts", "zstd")
-    zero = F.lit(0).cast("long")
-    whole = texts.select("text_id", F.octet_length("data").cast("long").alias("n_bytes"), "kept_sha256")
-    done = whole.join(cut, "text_id", "left").select(
-        "text_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
-        F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), *(["kept_text"] if with_text else []),
-    )
-    done = stage(done, "suffix-results", "zstd")
-    spark.sql(f"DROP TABLE {name}")
-    return done
+        return stage(done, "suffix-results", "zstd")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def remove_repeats(documents: DataFrame) -> DataFrame:
@@ -355,8 +404,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
-    """The documents, all columns, with what stays of their texts; ``n_chars`` follows, if there."""
-    done = cut_repeats(documents, with_text=True).where("kept_text IS NOT NULL")
+    """The documents, all columns, without the passages of 50 words and more that occur twice among
+    them; ``n_chars`` follows, if there.
+
+    A passage is what repeated strings of 200 bytes cover together: 50 words, or 400 bytes where words
+    are not spaced, are enough. The words are cut whole.
+    """
+    done = cut_repeats(documents, PASSAGES, passages=True, with_text=True).where("kept_text IS NOT NULL")
     cut = done.select(F.col("text_id").alias("_cut_id"), F.col("kept_text").alias("_kept_text"))
     joined = documents.join(cut, text_key(F.col("text")) == F.col("_cut_id"), "left").drop("_cut_id")
     joined = joined.withColumn("text", F.coalesce("_kept_text", "text"))

@@ -60,6 +60,43 @@ def cut(texts, length=400):
     return out
 
 
+def cut_passages(texts, length=200, words=50, size=400):
+    """What stays of each text, or None where nothing is cut."""
+    data = [(text or "").encode() for text in texts]
+    seen = collections.Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if seen[d[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        kept, at, i = [], 0, 0
+        while i < len(d):
+            if not gone[i]:
+                i += 1
+                continue
+            j = i
+            while j < len(d) and gone[j]:
+                j += 1
+            a, b = i, j
+            while a and d[a - 1] > 32 and a < j and d[a] not in b" \t\n\r\x0b\x0c":
+                a += 1
+                if d[a - 1] in b" \t\n\r\x0b\x0c":
+                    a -= 1
+                    break
+            while b < len(d) and d[b] > 32 and b > i and d[b - 1] not in b" \t\n\r\x0b\x0c":
+                b -= 1
+            b -= b < j and b > i
+            if a < b and len(d[a:b].split()) >= words:
+                kept, at = [*kept, d[at:a]], b
+            elif j - i >= size:
+                kept, at = [*kept, d[at:i]], j
+            i = j
+        kept.append(d[at:])
+        out.append("".join(k.decode("utf-8", "ignore") for k in kept) if len(kept) > 1 else None)
+    return out
+
+
 def tiles(item, document, least=5):
     """Greedy string tiling by trying every pair of positions."""
     used_a, used_b, found = set(), set(), []

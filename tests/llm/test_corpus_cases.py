@@ -434,6 +434,47 @@ def test_suffix_cases(documents, clashing, monkeypatch):
     assert suffixes.remove_repeats(empty(documents)).count() == 0
 
 
+def thue_morse(n, one, other):
+    """Two texts that differ everywhere and collide for every base of a polynomial modulo 2**64."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join((one, other)[b] for b in bits), "".join((other, one)[b] for b in bits)
+
+
+def test_texts_that_polynomial_hashes_mix_up(spark):
+    for size in (400, 1024, 2048):
+        rows = list(enumerate(thue_morse(size, "a", "b")))
+        frame = spark.createDataFrame(rows, DDL)
+        assert [(r.n_removed, r.n_spans) for r in suffixes.remove_repeats(frame).collect()] == [
+            (e[1], e[2]) for e in plain.cut([t for _, t in rows])
+        ]
+        assert sorted(r.text for r in neardup.keep_one(frame).collect()) == sorted(t for _, t in rows)
+        assert {r.n_links for r in neardup.near_duplicates(frame).collect()} == {0}
+
+
+def test_exact_shingles_are_those_of_the_words():
+    texts = ["a b c d e f", "a", "b a", "a b c d e", "b c d e f a b c d e", "x"]
+    codes, offsets = neardup.exact_shingles(pa.array(texts), 5)
+    found = [set(codes[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
+    sets = [plain.shingles(t) for t in texts]
+    assert [len(f) for f in found] == [len(s) for s in sets]
+    assert all(len(found[i] & found[j]) == len(sets[i] & sets[j]) for i in range(6) for j in range(6))
+
+
+def test_passages_of_fifty_words_go_whole(spark):
+    """Passages of 30 to 150 words in documents of their own, at the start, inside and at the end."""
+    rows, passages = [], [prose(n) for n in (30, 45, 52, 60, 90, 150)]
+    for i in range(36):
+        before, after = (prose(25 + i) if (i + k) % 3 else "" for k in (0, 1))
+        rows.append((i, f"{before}\n{passages[i % 6]} {after}".strip()))
+    rows += [(100, "漢字" * 300 + "甲乙" * 30), (101, "漢字" * 300 + "丙丁" * 40), (102, None), (103, "")]
+    left = {r.doc_id: r.text for r in suffixes.without_repeats(spark.createDataFrame(rows, DDL).repartition(4)).collect()}
+    expected = plain.cut_passages([t for _, t in rows])
+    assert left == {i: t if e is None else e for (i, t), e in zip(rows, expected)}
+    for i in range(36):
+        assert (passages[i % 6] in left[i]) == (i % 6 < 2)
+    assert len(left[100]) < 100 and len(left[101]) < 120
+
+
 def test_partial_repeats(spark):
     pick, rows = random.Random(11), []
     pool = [prose(150) for _ in range(6)]
