@@ -1,25 +1,24 @@
 """Licence scan: a sparse word n-gram classifier of paragraphs, confirmed by name templates.
 
-The model is Spark ML's logistic regression, applied as a join of n-grams with its coefficients.
-Each text's words are looked up in the fixed n-grams by hash, in Arrow batches, so lines wrapped
-inside a paragraph are read on; all else runs as DataFrame operations.
+The model is Spark ML's logistic regression, applied as a join of n-grams with its coefficients. All of
+it is DataFrame operations: paragraphs with a word of the fixed wordings are split into words, and the
+n-grams around such words are joined with the fixed ones, as they are, so lines wrapped inside a
+paragraph are read on.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import BASES, batch_words, mix, plain_words, record_batches, stage, text_key
+from tallybrook.llm.common import plain_words, stage, text_key
+from tallybrook.operators.once import with_columns_once
 
 # Names of public licences, in lower case without punctuation.
 NAMES = {
@@ -110,6 +109,8 @@ SAMPLE_DOCUMENTS = 300
 SAMPLE_PARAGRAPHS = 4000
 #: Fixed words of the wordings that say nothing about licences by themselves, whatever the corpus.
 FUNCTION_WORDS = frozenset("a and any as at be by for if in is it may not of on or that the this to under use with you your".split())
+#: A line feed and the lines without words after it: what lies between paragraphs.
+PARAGRAPH_END = r"\n(?:[^\p{L}\p{N}\p{M}\n]*\n)+"
 #: Words at most of a piece of a sampled line.
 SAMPLE_WORDS = 40
 #: Share of a sampled piece's n-grams from which it is like the wordings and no example of text without licence.
@@ -181,65 +182,52 @@ def name_templates(spark: SparkSession) -> DataFrame:
     return _rows(spark, rows, "family string, name string, gram string, pairs int, numbers int, number int, rivals array<string>")
 
 
-def _gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """A hash of the ``size`` words from each word on."""
-    with np.errstate(over="ignore"):
-        total = np.zeros(max(len(words) - size + 1, 0), np.uint64)
-        for i in range(size):
-            total = total * np.uint64(BASES[1]) + words[i : i + len(total)]
-        return mix(total)
-
-
 def find_grams(documents: DataFrame, grams_: list[str]) -> DataFrame:
     """(text_id, place, column, paragraph, at, whole, gram): where each text holds one of the pairs and triples.
 
-    ``place`` is the line in which the n-gram starts and ``column`` its word there; ``at`` counts
+    ``place`` names the line in which the n-gram starts, ``column`` is its word there and ``at`` counts
     the words of its paragraph, which ends at a line without words. ``whole`` is whether it ends in
-    the same line. The n-grams are a fixed list, of no size that follows the input.
+    the same line. Paragraphs without any telling word (of the n-grams, no function word or number)
+    are left out: nothing in them has weight or can confirm a name. The n-grams are a fixed list, of no
+    size that follows the input.
     """
-    sizes = {n: sorted({g for g in grams_ if len(g.split()) == n}) for n in (2, 3)}
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {}
-        for n, some in sizes.items():
-            words, _ = batch_words(pa.array(some, pa.string()))
-            hashes = _gram_hashes(words, n)[::n]
-            order = np.argsort(hashes)
-            known[n] = hashes[order], np.array(some, object)[order]
-        for batch in record_batches(batches, 500):
-            lists = batch["lines"]
-            bounds = np.asarray(lists.offsets).astype(np.int64)
-            words, offsets = batch_words(lists.values.slice(bounds[0], bounds[-1] - bounds[0]))
-            bounds = bounds - bounds[0]
-            lengths = np.diff(offsets)
-            text = np.repeat(np.arange(len(lists)), np.diff(bounds))
-            group = np.cumsum(lengths == 0) + text  # a line without words or another text ends a paragraph
-            line = np.repeat(np.arange(len(lengths)), lengths)
-            own = group[line]
-            for n, (hashes, some) in known.items():
-                here = _gram_hashes(words, n)
-                if not len(here) or not len(hashes):
-                    continue
-                found = np.minimum(np.searchsorted(hashes, here), len(hashes) - 1)
-                starts = np.flatnonzero((hashes[found] == here) & (own[: len(here)] == own[n - 1 :]))
-                at, row = line[starts], text[line[starts]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["text_id"].take(pa.array(row)),
-                        pa.array((at - bounds[row]).astype(np.int32)),
-                        pa.array((starts - offsets[at]).astype(np.int32)),
-                        pa.array((group[at] - group[bounds[row]]).astype(np.int32)),
-                        pa.array((starts - np.searchsorted(own, own[starts])).astype(np.int32)),
-                        pa.array(at == line[starts + n - 1]),
-                        pa.array(some[found[starts]].tolist(), pa.string()),
-                    ],
-                    names=["text_id", "place", "column", "paragraph", "at", "whole", "gram"],
-                )
-
-    lines = documents.where("text IS NOT NULL").select(
-        text_key(F.col("text")).alias("text_id"), F.transform(F.split("text", "\n"), plain_words).alias("lines")
+    words = sorted({word for gram in grams_ for word in gram.split()})
+    numbers = [word for word in words if word.isdigit()]
+    telling = [word for word in words if word not in FUNCTION_WORDS and not word.isdigit()]
+    texts = documents.where("text IS NOT NULL").select(
+        text_key(F.col("text")).alias("text_id"), F.posexplode(F.split("text", PARAGRAPH_END)).alias("paragraph", "part")
     )
-    return lines.mapInArrow(find, "text_id binary, place int, column int, paragraph int, at int, whole boolean, gram string")
+    told = F.exists(F.split(plain_words(F.col("part")), " "), lambda word: word.isin(telling))
+    lines = F.transform(F.split("part", "\n"), plain_words)
+    tokens = F.flatten(F.transform(lines, lambda line, n: F.transform(
+        F.filter(F.split(line, " "), lambda word: word != ""), lambda word, c: F.struct(n.alias("line"), c.alias("column"), word.alias("word"))
+    )))
+    texts = with_columns_once(texts.where(told), {"tokens": tokens}).drop("part")
+    token = lambda i: F.get(F.col("tokens"), i)
+    word = lambda i: token(i)["word"]
+
+    def near(i: Column) -> Column:
+        known, says = word(i).isin(words) & word(i + 1).isin(words), telling + numbers
+        said = word(i).isin(says) | word(i + 1).isin(says) | F.coalesce(word(i + 2).isin(says), F.lit(False))
+        return F.coalesce(known & said, F.lit(False))
+
+    def both(i: Column) -> Column:
+        pair = F.concat(word(i), F.lit(" "), word(i + 1))
+        return F.array(*[
+            F.struct(
+                i.alias("at"), token(i)["line"].alias("line"), token(i)["column"].alias("column"),
+                (token(i)["line"] == token(i + n - 1)["line"]).alias("whole"), gram.alias("gram"),
+            )
+            for n, gram in ((2, pair), (3, F.concat(pair, F.lit(" "), word(i + 2))))
+        ])
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), near)
+    # The words stay behind: a hit holds all that is needed of them.
+    found = texts.where(F.size("tokens") > 1).select("text_id", "paragraph", F.explode(F.flatten(F.transform(starts, both))).alias("hit"))
+    place = F.shiftleft(F.col("paragraph").cast("long"), 32) + F.col("hit.line")
+    found = found.select("text_id", place.alias("place"), "hit.column", "paragraph", "hit.at", "hit.whole", "hit.gram")
+    fixed = _rows(documents.sparkSession, [(gram,) for gram in sorted(set(grams_))], "gram string")
+    return found.join(F.broadcast(fixed), "gram").select("text_id", "place", "column", "paragraph", "at", "whole", "gram")
 
 
 def train(documents: DataFrame) -> tuple[list[tuple[str, str, float]], dict[str, float], float]:
