@@ -28,6 +28,8 @@ RANK_BUCKETS = 1 << 16
 #: Most frequent words whose tokens are worked out once and sent to all tasks, and their longest length.
 DICTIONARY_WORDS = 1 << 17
 DICTIONARY_BYTES = 64
+#: Longest words whose pairs are all looked through for the next merge.
+SHORT_BYTES = 32
 #: Rare words that a task remembers.
 REMEMBERED_WORDS = 1 << 18
 #: Above every rank: no piece.
@@ -148,6 +150,30 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     """The ids of one word: whole, if it is a piece, else by merges of least rank, the first of equals."""
     if word in ranks:
         return (ranks[word],)
+    return _merge_long(word, ranks) if len(word) > SHORT_BYTES else _merge_short(word, ranks)
+
+
+def _merge_short(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    """Looks through all pairs for the next merge: quick for few bytes."""
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    found = ranks.get
+    pairs = [found(a + b, NO_RANK) for a, b in zip(pieces, pieces[1:])]
+    while pairs:
+        least = min(pairs)
+        if least == NO_RANK:
+            break
+        i = pairs.index(least)
+        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = found(pieces[i - 1] + pieces[i], NO_RANK)
+        if i < len(pairs):
+            pairs[i] = found(pieces[i] + pieces[i + 1], NO_RANK)
+    return tuple([ranks[p] for p in pieces])
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    """Keeps the pairs in a heap: time follows the bytes and their logarithm."""
     n = len(word)
     after, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), bytearray(n)
     heap = [(ranks[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in ranks]
@@ -170,31 +196,37 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
 class Encoder:
     """Text to ids in a task: words in the dictionary, then words met before, then a merge.
 
-    What it remembers is bounded: ``REMEMBERED_WORDS`` besides the dictionary.
+    ``made`` turns a word's ids into what is wanted of it, once for each word that is remembered. That
+    is bounded: the dictionary and ``REMEMBERED_WORDS`` besides.
     """
 
-    def __init__(self, dictionary: dict[str, tuple[int, ...]], ranks: dict[bytes, int], pattern: str):
-        self.dictionary, self.ranks, self.met = dictionary, ranks, {}
+    def __init__(self, dictionary: dict[str, tuple[int, ...]], ranks: dict[bytes, int], pattern: str, made=lambda ids: ids):
+        self.dictionary = {word: made(ids) for word, ids in dictionary.items()}
+        self.ranks, self.made, self.met = ranks, made, {}
         self.words = regex.compile(spelled_out(pattern)).findall
 
-    def ids(self, text: str) -> list[int]:
+    def of_words(self, text: str) -> list:
+        """What was made of every word of a text, in order."""
         words = self.words(text)
         found = list(map(self.dictionary.get, words))
         if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
+            for i, made in enumerate(found):
+                if made is None:
                     found[i] = self._merged(words[i])
-        return list(itertools.chain.from_iterable(found))
+        return found
 
-    def _merged(self, word: str) -> tuple[int, ...]:
-        ids = self.met.get(word)
-        if ids is None:
-            ids = merge(word.encode(), self.ranks)
+    def ids(self, text: str) -> list[int]:
+        return list(itertools.chain.from_iterable(self.of_words(text)))
+
+    def _merged(self, word: str):
+        made = self.met.get(word)
+        if made is None:
+            made = self.made(merge(word.encode(), self.ranks))
             if len(word) <= DICTIONARY_BYTES:
                 if len(self.met) >= REMEMBERED_WORDS:
                     self.met.clear()
-                self.met[word] = ids
-        return ids
+                self.met[word] = made
+        return made
 
 
 def _encoder(documents: DataFrame, rank_path: str, pattern: str):
@@ -228,27 +260,29 @@ def decode_ids(ids: Column, rank_path: str) -> Column:
 def token_digests(documents: DataFrame, rank_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document.
 
-    The ids become digests where they are made, so they need not move. Decoding looks up the ids'
-    pieces and joins them.
+    The ids become digests where they are made, so they need not move. Of every word that a task
+    remembers it keeps the number of ids, the ids in decimal, and the bytes that they decode to: the
+    ids' pieces, joined. A text's are those of its words, one after the other.
     """
     parts = _encoder(documents, rank_path, pattern)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*parts.value)
-        pieces = {rank: piece for piece, rank in encoder.ranks.items()}
+        dictionary, ranks, pattern_ = parts.value
+        pieces = {rank: piece for piece, rank in ranks.items()}
         decimal = {rank: str(rank) for rank in pieces}
+
+        def made(ids: tuple[int, ...]) -> tuple[int, str, bytes]:
+            return len(ids), " ".join([decimal[i] for i in ids]), b"".join([pieces[i] for i in ids])
+
+        encoder = Encoder(dictionary, ranks, pattern_, made)
         for batch in byte_batches(batches, "text"):
             rows = []
-            for text in batch["text"]:
-                ids = encoder.ids(text.as_py() or "")
-                rows.append((
-                    len(ids),
-                    hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest(),
-                    hashlib.sha256(b"".join(map(pieces.__getitem__, ids))).hexdigest(),
-                ))
-            counts, of_ids, of_bytes = zip(*rows)
+            for text in batch["text"].to_pylist():
+                counts, ids, decoded = zip(*encoder.of_words(text)) if text else ((), (), ())
+                rows.append((sum(counts), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(decoded)).hexdigest()))
+            counts, of_ids, of_bytes = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)],
+                [batch["doc_id"], pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 

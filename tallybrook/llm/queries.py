@@ -87,8 +87,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_suffix_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the 400-byte strings that occur twice."""
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    """Every document without the 400-byte strings that occur twice, and its repeated passages."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), passages=True)
 
 
 @query("op11_whitening")

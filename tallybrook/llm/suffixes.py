@@ -62,7 +62,7 @@ PART_ROWS = 1 << 20
 ITEMS_DDL = "core long, span long, owner long, place long"
 REPEATED, DEEPER, AT_BOUNDARY = 0, 1, 2
 FOUND_DDL = f"kind int, {ITEMS_DDL}"
-CUT_DDL = "text_id binary, n_removed long, n_spans long, cut_sha256 string, kept_text string"
+CUT_DDL = "text_id binary, n_removed long, n_spans long, cut_sha256 string, kept_text string, n_passages long, n_passage_bytes long"
 
 
 def _digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: bytes) -> np.ndarray:
@@ -294,33 +294,37 @@ def _passage(data: memoryview, first: int, stop: int) -> tuple[int, int] | None:
     return (first, stop) if stop - first >= PASSAGE_BYTES else None
 
 
-def _cut(window: Window, passages: bool):
-    """Remove the bytes that repeated windows cover, or of these only passages. ``kept_text`` leaves
-    out the parts of a character that a cut splits."""
+def _merged(runs: list[dict], length: int) -> list[tuple[int, int]]:
+    """The maximal ranges of bytes that runs of windows cover."""
+    merged = []
+    for first, last in sorted((r["first"], r["last"]) for r in runs):
+        if merged and first <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], last + length)
+        else:
+            merged.append([first, last + length])
+    return [(a, b) for a, b in merged]
+
+
+def _cut(strings: bool):
+    """Remove the bytes that repeated strings cover or, without ``strings``, the passages; count the
+    passages. ``kept_text`` leaves out the parts of a character that a cut splits."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text_id, data, runs in zip(batch["text_id"], batch["data"], batch["runs"]):
-                data, kept, at, removed = memoryview(data.as_buffer()), [], 0, 0
-                pairs = np.sort(np.array([(r["first"], r["last"] + window.length) for r in runs.as_py()], np.int64).view("i8,i8").ravel())
-                merged = []
-                for first, stop in pairs.tolist():
-                    if merged and first <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], stop)
-                    else:
-                        merged.append([first, stop])
-                if passages:
-                    merged = [p for p in (_passage(data, *m) for m in merged) if p]
-                for first, stop in merged:
+            for text_id, data, whole, parts in zip(batch["text_id"], batch["data"], batch["strings"], batch["passages"]):
+                data, kept, at = memoryview(data.as_buffer()), [], 0
+                passages = [p for p in (_passage(data, *m) for m in _merged(parts.as_py(), PASSAGES.length)) if p]
+                gone = _merged(whole.as_py(), STRINGS.length) if strings else passages
+                for first, stop in gone:
                     kept.append(bytes(data[at:first]))
-                    removed += stop - first
                     at = stop
                 kept.append(bytes(data[at:]))
                 text = "".join(part.decode("utf-8", "ignore") for part in kept)
-                rows.append((text_id.as_py(), removed, len(merged), hashlib.sha256(b"".join(kept)).hexdigest(), text))
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            columns = list(zip(*rows)) or [()] * 5
+                size = lambda ranges: sum(b - a for a, b in ranges)
+                rows.append((text_id.as_py(), size(gone), len(gone), hashlib.sha256(b"".join(kept)).hexdigest(), text, len(passages), size(passages)))
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            columns = list(zip(*rows)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in CUT_DDL.split(", ")])
 
     return cut
@@ -345,16 +349,17 @@ def repeated_runs(texts: DataFrame, window: Window, parts: int) -> DataFrame:
     return runs
 
 
-def cut_repeats(documents: DataFrame, window: Window = STRINGS, passages: bool = False, with_text: bool = False) -> DataFrame:
-    """(text_id, n_bytes, n_removed, n_spans, kept_sha256) of every distinct text, for a join by
-    ``text_key``; ``with_text`` adds what stays as ``kept_text``, null where that is the whole text.
+def cut_repeats(documents: DataFrame, strings: bool = True, passages: bool = True, with_text: bool = False) -> DataFrame:
+    """(text_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, n_passage_bytes) of every distinct
+    text, for a join by ``text_key``; ``with_text`` adds what stays as ``kept_text``, null where that is
+    the whole text.
 
-    Strings of ``window.length`` bytes that start twice go; with ``passages`` only where what they
-    cover, taken together, is a passage of ``PASSAGE_WORDS`` words or ``PASSAGE_BYTES`` bytes, cut at
-    whole words. Equal texts are worked on once, and count as repeats of each other. Null texts have no
-    row here; shorter texts have nothing to lose. Texts are kept in a table bucketed by their id in the
-    shared folder, so the levels join with it without moving texts again; it goes in the end, whatever
-    happens.
+    With ``strings`` strings of 400 bytes that start twice go, else the passages do. A passage is what
+    repeated strings of 200 bytes cover together, its whole words, if these are ``PASSAGE_WORDS`` or
+    their bytes ``PASSAGE_BYTES``; without ``passages`` none is looked for. Equal texts are worked on
+    once, and count as repeats of each other. Null texts have no row here; shorter texts have nothing
+    to lose. Texts are kept in a table bucketed by their id in the shared folder, so the levels join
+    with it without moving texts again; the table goes in the end, whatever happens.
     """
     spark = documents.sparkSession
     data = F.encode("text", "UTF-8")
@@ -370,36 +375,43 @@ def cut_repeats(documents: DataFrame, window: Window = STRINGS, passages: bool =
         texts.write.option("compression", "zstd").option("path", run_dir(spark, "suffix-texts")).bucketBy(buckets, "text_id").saveAsTable(name)
         texts = spark.table(name)
         numbers = texts.select("text_no", "text_id")
-        runs = repeated_runs(texts, window, max(default, total // (window.reach // 2) // PART_ROWS + 1))
-        per_text = runs.groupBy("text_no").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-        per_text = numbers.join(per_text, "text_no").select("text_id", "runs")
-        cut = texts.join(per_text.hint("shuffle_hash"), "text_id").select("text_id", "data", "runs").mapInArrow(_cut(window, passages), CUT_DDL)
-        cut = cut.where("n_removed > 0")
-        cut = stage(cut if with_text else cut.drop("kept_text"), "cut-texts", "zstd")
-        zero = F.lit(0).cast("long")
+        wanted = [("strings", STRINGS)] * strings + [("passages", PASSAGES)] * passages
+        runs = None
+        for kind, window in wanted:
+            found = repeated_runs(texts, window, max(default, total // (window.reach // 2) // PART_ROWS + 1)).withColumn("kind", F.lit(kind))
+            runs = found if runs is None else runs.unionByName(found)
+        of_kind = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.struct("first", "last"))).alias(kind)
+        per_text = runs.groupBy("text_no").agg(of_kind("strings"), of_kind("passages"))
+        per_text = numbers.join(per_text, "text_no").select("text_id", "strings", "passages")
+        cut = texts.join(per_text.hint("shuffle_hash"), "text_id").select("text_id", "data", "strings", "passages").mapInArrow(_cut(strings), CUT_DDL)
+        cut = stage(cut.where("n_removed > 0 OR n_passages > 0").drop(*([] if with_text else ["kept_text"])), "cut-texts", "zstd")
+        counts, zero = ("n_removed", "n_spans", "n_passages", "n_passage_bytes"), F.lit(0).cast("long")
         whole = texts.select("text_id", F.octet_length("data").cast("long").alias("n_bytes"), "kept_sha256")
         done = whole.join(cut, "text_id", "left").select(
-            "text_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"),
-            F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), *(["kept_text"] if with_text else []),
+            "text_id", "n_bytes", *[F.coalesce(c, zero).alias(c) for c in counts], F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"),
+            *([F.when(F.col("n_removed") > 0, F.col("kept_text")).alias("kept_text")] if with_text else []),
         )
         return stage(done, "suffix-results", "zstd")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def remove_repeats(documents: DataFrame) -> DataFrame:
+def remove_repeats(documents: DataFrame, passages: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document.
 
     A byte goes if a string of 400 bytes that covers it also starts anywhere else, in this or another
-    text; all is judged on the input. A null text counts as empty. Repeated rows are copies of each
-    other. Ids may be null or repeated: results go by text.
+    text; all is judged on the input. With ``passages`` there are also n_passages and n_passage_bytes:
+    the repeated passages of 50 words and more, which may be shorter than 400 bytes and so stay. A null
+    text counts as empty. Repeated rows are copies of each other. Ids may be null or repeated: results
+    go by text.
     """
-    done = cut_repeats(documents)
+    done = cut_repeats(documents, passages=passages)
     ids = documents.select("doc_id", text_key(F.coalesce(F.col("text"), F.lit(""))).alias("text_id"))
     zero = F.lit(0).cast("long")
+    counts = ("n_bytes", "n_removed", "n_spans"), ("n_passages", "n_passage_bytes") if passages else ()
     return ids.join(done, "text_id", "left").select(
-        "doc_id", *[F.coalesce(c, zero).alias(c) for c in ("n_bytes", "n_removed", "n_spans")],
-        F.coalesce("kept_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("kept_sha256"),
+        "doc_id", *[F.coalesce(c, zero).alias(c) for c in counts[0]],
+        F.coalesce("kept_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("kept_sha256"), *[F.coalesce(c, zero).alias(c) for c in counts[1]],
     )
 
 
@@ -410,7 +422,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     A passage is what repeated strings of 200 bytes cover together: 50 words, or 400 bytes where words
     are not spaced, are enough. The words are cut whole.
     """
-    done = cut_repeats(documents, PASSAGES, passages=True, with_text=True).where("kept_text IS NOT NULL")
+    done = cut_repeats(documents, strings=False, with_text=True).where("kept_text IS NOT NULL")
     cut = done.select(F.col("text_id").alias("_cut_id"), F.col("kept_text").alias("_kept_text"))
     joined = documents.join(cut, text_key(F.col("text")) == F.col("_cut_id"), "left").drop("_cut_id")
     joined = joined.withColumn("text", F.coalesce("_kept_text", "text"))

@@ -105,6 +105,11 @@ def test_suffixes(spark, sf_dir, documents):
     for d, (size, removed, spans, kept) in zip(documents, plain.cut([d.text for d in documents])):
         r = found[d.doc_id]
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (size, removed, spans, plain.sha256(kept))
+    left = plain.cut_passages([d.text for d in documents])
+    assert {i for i, r in found.items() if r.n_passages} == {d.doc_id for d, t in zip(documents, left) if t is not None}
+    for d, text in zip(documents, left):
+        gone = 0 if text is None else len((d.text or "").encode()) - len(text.encode())
+        assert found[d.doc_id].n_passage_bytes == gone
 
 
 def test_warc_digest_by_hand(spark, sf_dir):
