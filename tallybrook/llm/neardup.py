@@ -215,7 +215,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     keyed = classes.select("class_no", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.min("class_no").alias("root"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     shared = stage(shared, "shared-bands")
-    edges = keyed.join(shared, "band").where("class_no <> root").select(F.col("class_no").alias("a"), F.col("root").alias("b")).distinct()
+    # A class is joined with the least of its bands' roots, and so are those roots: one edge a class and
+    # a few among roots, where an edge for each band would be up to 32 times as many.
+    roots = keyed.join(shared, "band").groupBy("class_no").agg(F.collect_set("root").alias("roots"))  # one for each band at most
+    nodes = F.explode(F.array_union(F.array("class_no"), "roots")).alias("a")
+    edges = roots.select(nodes, F.array_min("roots").alias("b")).where("a <> b").distinct()
     parts = components(edges).select(F.col("node").alias("class_no"), F.col("label").alias("part"))
     cells = stage(_cells(classes, parts), "cells")
 
