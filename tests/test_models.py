@@ -174,5 +174,19 @@ def test_pages_of_ties_and_equal_rows(spark):
 def test_paging_moves_keys_only(spark):
     wide = spark.range(100).withColumns({"t": F.col("id") % 7, "text": F.repeat(F.lit("wide"), 1000)})
     found = paged_top_n(wide, "t", page_size=10, total=10, start_page=2, tiebreak=("id",))
-    assert "TakeOrderedAndProject" not in plan(found) and "Sort" not in plan(found)
+    # The only sort is that of the page itself: it comes after the filter by the page's keys.
+    steps = plan(found).split("== Physical Plan ==")[-1]
+    assert "TakeOrderedAndProject" not in steps and steps.count("- Sort [") == 1 and steps.index("Sort [") < steps.index("Filter (")
     assert found.count() == 10
+
+
+def test_pages_come_in_order(spark, monkeypatch):
+    rows = [(i % 7 if i % 11 else None, i % 50) for i in range(200)]
+    df = spark.createDataFrame(rows, "t long, id long").repartition(6)
+    ordered = sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1]), reverse=True)
+    for top_keys in (10_000, 5):  # both ways to the bounds
+        monkeypatch.setattr("tallybrook.operators.paging.TOP_KEYS", top_keys)
+        for start, size in ((1, 10), (2, 13), (3, 40), (9, 23)):
+            found = paged_top_n(df, "t", page_size=size, total=size, start_page=start, tiebreak=("id",))
+            assert [tuple(r) for r in found.collect()] == ordered[(start - 1) * size : start * size]
+    assert [tuple(r) for r in paged_top_n(df, "t", max_pages=None, tiebreak=("id",)).collect()] == ordered
