@@ -144,9 +144,10 @@ def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hashes, rows
 
 
-def batch_shingles(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def batch_shingles(words: np.ndarray, offsets: np.ndarray, size: int, padded: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of ``size`` words of each row and the rows' offsets in them; a row of
-    fewer words, but not of none, has one run: all its words."""
+    fewer words, but not of none, has one run: all its words. ``padded`` gives the hashes that texts
+    of just these words have as rows of fewer than ``padded`` words."""
     lengths = np.diff(offsets)
     counts = np.where(lengths >= size, lengths - size + 1, np.minimum(lengths, 1))
     out = np.concatenate([[0], np.cumsum(counts)])
@@ -161,6 +162,8 @@ def batch_shingles(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[n
             here = start + i
             word = np.where(here < stop, words[np.minimum(here, len(words) - 1)], np.uint64(0))
             total = total * np.uint64(BASES[1]) + word
+        for _ in range(size, padded or size):
+            total = total * np.uint64(BASES[1])
         return mix(total), out
 
 

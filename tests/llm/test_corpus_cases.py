@@ -415,6 +415,40 @@ def test_licence_texts_and_identifiers(spark):
     assert found[5].unknown_paragraphs and found[10].unknown_paragraphs
 
 
+def test_tiles_of_repeated_words_take_little_memory():
+    import tracemalloc
+
+    words = np.random.default_rng(3).integers(0, 1 << 63, 2, dtype=np.uint64)
+    for item, document in (
+        (np.repeat(words[:1], 500), np.repeat(words[:1], 300_000)),
+        (np.tile(words, 250), np.random.default_rng(4).choice(words, 300_000)),
+    ):
+        tracemalloc.start()
+        found = tiling.tile(item, document)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 << 20 and sum(n for _, _, n in found) >= 450
+        assert all((item[a : a + n] == document[b : b + n]).all() for a, b, n in found)
+
+
+def test_tiles_equal_brute_force_on_few_words():
+    pick = random.Random(9)
+    for _ in range(150):
+        words = [pick.getrandbits(63) for _ in range(pick.choice((1, 2, 3, 9)))]
+        item, document = ([pick.choice(words) for _ in range(pick.randint(1, n))] for n in (24, 40))
+        assert tiling.tile(np.array(item, np.uint64), np.array(document, np.uint64)) == plain.tiles(item, document)
+
+
+def test_short_items_are_found_whole(spark):
+    items = spark.createDataFrame([(1, "Name the capital"), (2, "one two three four"), (3, "too short"), (4, "yes")], "item_id long, text string")
+    rows = [
+        (1, "please name THE capital of it"), (2, "name the"), (3, "name the; capital!"), (4, "one two three"), (5, "x one two three four"), (6, "too short yes"),
+        (7, "name of the capital"), (8, "one two three four"), (9, None),
+    ]
+    found = {(r.doc_id, r.item_id, r.coverage) for r in tiling.find_leaks(spark.createDataFrame(rows, DDL), items).collect()}
+    assert found == {(1, 1, 1.0), (3, 1, 1.0), (5, 2, 1.0), (8, 2, 1.0)}
+
+
 # -- 10
 
 
