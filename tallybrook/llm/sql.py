@@ -29,29 +29,39 @@ f AS (SELECT page_id, host, path, arg_max(rule_host || rule_path, length(rule_ho
       FROM j LEFT JOIN rules
         ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
       GROUP BY ALL),
-w AS (SELECT 'trust' AS kind, host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS weight
-      FROM f WHERE host <> '' GROUP BY host
-      UNION ALL
-      SELECT 'distrust', host, avg(CASE WHEN rule_verdict = 'block' THEN 1.0 ELSE 0.0 END) FROM f WHERE host <> '' GROUP BY host),
 l AS (SELECT host AS source, unnest(regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)', 1)) AS link
       FROM j WHERE host <> ''),
 t AS (SELECT source, CASE WHEN starts_with(link, '//') THEN 'http:' || link
                           WHEN regexp_matches(link, '(?i)^https?://') THEN link
                           WHEN NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'http://' || source END AS target_url FROM l),
 h AS (SELECT source, {_REST.format("target_url")} AS rest FROM t WHERE target_url IS NOT NULL),
-e AS (SELECT source, {_PAGE_HOST} AS target, count(*) AS links FROM h WHERE rest <> '' GROUP BY ALL HAVING target <> source),
-d AS (SELECT 'trust' AS kind, source, target, links FROM e UNION ALL SELECT 'distrust', target, source, links FROM e),
-share AS (SELECT kind, source, target, links / sum(links) OVER (PARTITION BY kind, source) AS share FROM d),
+g AS (SELECT source, {_PAGE_HOST} AS target, coalesce(nullif(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), ''), '/') AS path, count(*) AS links
+      FROM h WHERE rest <> '' GROUP BY ALL),
+gr AS (SELECT target, path, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+       FROM (SELECT DISTINCT target, path FROM g) LEFT JOIN rules
+         ON (target = rule_host OR ends_with(target, '.' || rule_host)) AND starts_with(path, rule_path)
+       GROUP BY ALL),
+e AS (SELECT source, target, sum(links) AS links, sum(CASE WHEN verdict = 'allow' THEN links ELSE 0 END) AS allowed,
+             sum(CASE WHEN verdict = 'block' THEN links ELSE 0 END) AS blocked
+      FROM g JOIN gr USING (target, path) WHERE target <> '' GROUP BY source, target),
+s AS (SELECT host, avg(CASE WHEN rule_verdict = 'allow' THEN 1.0 ELSE 0.0 END) AS trust,
+             avg(CASE WHEN rule_verdict = 'block' THEN 1.0 ELSE 0.0 END) AS distrust
+      FROM f WHERE host <> '' GROUP BY host
+      UNION ALL
+      SELECT target, sum(allowed) / sum(links), sum(blocked) / sum(links) FROM e WHERE target NOT IN (SELECT host FROM f) GROUP BY target),
+w AS (SELECT 'trust' AS kind, host, trust AS weight FROM s UNION ALL SELECT 'distrust', host, distrust FROM s),
+share AS (SELECT source, target, links / sum(links) OVER (PARTITION BY source) AS share FROM e WHERE source <> target),
+d AS (SELECT 'trust' AS kind, source, target, share FROM share UNION ALL SELECT 'distrust', target, source, share FROM share),
 base AS (SELECT kind, host, round(sum(weight), 9) AS weight
-         FROM (SELECT * FROM w UNION ALL SELECT kind, source, 0.0 FROM share UNION ALL SELECT kind, target, 0.0 FROM share) GROUP BY ALL),
+         FROM (SELECT * FROM w UNION ALL SELECT kind, source, 0.0 FROM d UNION ALL SELECT kind, target, 0.0 FROM d) GROUP BY ALL),
 scores AS (
   SELECT 0 AS n, kind, host, CAST(weight AS DOUBLE) AS score FROM base
   UNION ALL
-  SELECT n + 1, kind, host, round(sum(part), 9)
-  FROM (SELECT s.n, l.kind, l.target AS host, 0.85 * s.score * l.share AS part
-        FROM scores s JOIN share l ON l.kind = s.kind AND l.source = s.host WHERE s.n < 32
+  SELECT n + 1, kind, host, round(sum(weight) + CASE WHEN kind = 'distrust' THEN 1 - sum(weight) ELSE 1 END * 0.85 * sum(part), 9)
+  FROM (SELECT scores.n, d.kind, d.target AS host, scores.score * d.share AS part, 0.0 AS weight
+        FROM scores JOIN d ON d.kind = scores.kind AND d.source = scores.host WHERE scores.n < 32
         UNION ALL
-        SELECT m.n, b.kind, b.host, CAST(b.weight AS DOUBLE) FROM base b, (SELECT DISTINCT n FROM scores) m WHERE m.n < 32)
+        SELECT m.n, b.kind, b.host, 0.0, CAST(b.weight AS DOUBLE) FROM base b, (SELECT DISTINCT n FROM scores) m WHERE m.n < 32)
   GROUP BY n, kind, host),
 v AS (SELECT host, sum(CASE WHEN kind = 'trust' THEN score END) AS trust, sum(CASE WHEN kind = 'distrust' THEN score END) AS distrust
       FROM scores WHERE n = 32 GROUP BY host)

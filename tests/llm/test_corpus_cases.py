@@ -253,6 +253,30 @@ def test_url_distrust_of_farms(spark):
     assert (found[1].host_distrust, found[10].host_distrust, found[200].host_distrust) == (0.85, 0.85, 0.2125)
 
 
+def test_verdicts_of_a_made_web_equal_the_sql(spark):
+    """Hosts that link to each other, to hosts without a page, and a farm around a blocked hub."""
+    import duckdb
+
+    from oracle import differences
+    from tallybrook.llm import sql
+
+    link = lambda *urls: "".join(f"<a class=x href='{u}'>x</a>" for u in urls)
+    rows = [
+        (1, "http://a.example.org/fr/x", link("http://b.example.org/", "/own", "//c.test/page")), (2, "http://b.example.org/", link("http://bad.net/")),
+        (3, "http://c.test/", link("http://bad.net/x", "http://bad.net/y", "http://a.example.org/fr/")), (4, "HTTP://C.test/de", link("mailto:x@y")),
+        (5, None, link("http://bad.net/")), (6, "no scheme", ""), (7, "http://lonely.test", None), (8, "http://example.com/de/x", link("http://d.test")),
+        (9, "http://d.test/", link("http://example.com/de/", "http://example.com/en/", "http://unknown.net/")), (10, "http://bad.net/", link("http://b.example.org/")),
+    ]
+    rows += [(100 + i, f"http://farm{i}.test/", link("http://hub.net/", f"http://farm{(i + 1) % 6}.test/")) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    connection = duckdb.connect()
+    connection.register("pages", pages.toArrow())
+    found = urls.judge_pages(pages).select("page_id", "host", "path", "rule", "verdict")
+    assert differences(found, connection, sql.OP5) == []
+    verdicts = {r.page_id: r.verdict for r in found.collect()}
+    assert all(verdicts[100 + i] == "block" for i in range(6)) and verdicts[7] == verdicts[6] == "allow"
+
+
 # -- 6
 
 
