@@ -29,8 +29,12 @@ ARCHIVE_BYTES = 4 << 20
 ARCHIVES_DDL = "path string, content binary"
 RECORDS_DDL = (
     "record_id string, warc_date string, target_uri string, ip string, head binary, payload binary, "
-    "payload_digest string, block_digest string, head_digest string, page_id long"
+    "payload_digest string, block_digest string, head_digest string, page_id long, kind string, content_type string"
 )
+RESPONSE, RESOURCE, METADATA = "response", "resource", "metadata"
+HTTP_TYPE = "application/http; msgtype=response"
+# Media types that legacy crawlers write where they know none.
+NO_MIME = ("", "-", "no-type", "unknown")
 READ_DDL = (
     "record_id string, record_type string, page_id long, payload_bytes long, payload_digest string, refers_to_id string"
 )
@@ -119,11 +123,27 @@ def archive_pages(pages: DataFrame, date: str = "20000101000000") -> DataFrame:
     return pages.select("page_id", "url", "html").mapInArrow(build, ARCHIVES_DDL)
 
 
+def record_kind(url: str, mime: str, block: bytes) -> tuple[str, str]:
+    """(WARC type, content type) of an ARC record: what came with an HTTP head is a response, what a
+    crawler noted about itself is metadata, all else (``dns:`` answers, files, content whose head
+    was not kept) a resource of its media type."""
+    scheme = url.partition(":")[0].lower()
+    if scheme in ("http", "https", "urn") or "://" not in url and scheme != "dns":
+        if block[:5] == b"HTTP/":
+            return RESPONSE, HTTP_TYPE
+    if scheme in ("metadata", "filedesc", "warcinfo"):
+        return METADATA, mime if mime not in NO_MIME else "application/warc-fields"
+    if scheme == "dns":
+        return RESOURCE, "text/dns"
+    return RESOURCE, mime if mime not in NO_MIME else "application/octet-stream"
+
+
 def convert_archives(archives: DataFrame) -> DataFrame:
     """One row for each record of the ARC archives (path, content), with what WARC asks for.
 
-    The record id follows from archive and offset, so a repeated conversion gives the same one. The
-    HTTP head and the payload are split at the first empty line; content without one is all payload.
+    The record id follows from archive and offset, so a repeated conversion gives the same one. Type and
+    content type follow from scheme, media type and HTTP head. A response's head and payload are split
+    at the first empty line; the content of any other record is all payload.
     """
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,15 +152,16 @@ def convert_archives(archives: DataFrame) -> DataFrame:
             for path, content in zip(batch["path"], batch["content"]):
                 path, rows = path.as_py(), []
                 for header, offset, block in parse_arc(content.as_py() or b""):
+                    kind, content_type = record_kind(header["url"], header["mime"], block)
                     head, mark, payload = block.partition(b"\r\n\r\n")
-                    head, payload = (head + mark, payload) if mark else (b"", block)
+                    head, payload = (head + mark, payload) if mark and kind == RESPONSE else (b"", block)
                     page = re.search(rb"^X-Page-Id: (-?\d+)\r$", head, re.MULTILINE)
                     date = header["date"]
                     rows.append((
                         f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{path}#{offset}')}>",
                         f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z",
                         header["url"], header["ip"], head, payload, sha1_base32(payload), sha1_base32(block),
-                        sha1_base32(head), int(page[1]) if page else None,
+                        sha1_base32(head), int(page[1]) if page else None, kind, content_type,
                     ))
                 for at in range(0, len(rows), 500):
                     columns = zip(*rows[at : at + 500])
@@ -153,13 +174,14 @@ def convert_archives(archives: DataFrame) -> DataFrame:
 
 
 def warc_record(payload_first: Column) -> Column:
-    """The bytes of a record but for the last line feed; ``payload_first``: the record is a response."""
+    """The bytes of a record but for the last line feed; ``payload_first``: the record holds its payload,
+    it is no revisit."""
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     response = payload_first
     block = F.when(response, F.concat(F.col("head"), F.col("payload"))).otherwise(F.col("head"))
     header = F.concat(
         F.lit("WARC/1.0\r\n"),
-        line("WARC-Type", F.when(response, "response").otherwise("revisit")),
+        line("WARC-Type", F.when(response, F.col("kind")).otherwise("revisit")),
         line("WARC-Record-ID", F.col("record_id")),
         line("WARC-Date", F.col("warc_date")),
         line("WARC-Target-URI", F.col("target_uri")),
@@ -169,7 +191,7 @@ def warc_record(payload_first: Column) -> Column:
         F.when(response, F.lit("")).otherwise(
             F.concat(line("WARC-Profile", F.lit(REVISIT_PROFILE)), line("WARC-Refers-To", F.col("response_id")))
         ),
-        line("Content-Type", F.lit("application/http; msgtype=response")),
+        line("Content-Type", F.col("content_type")),
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
@@ -179,15 +201,17 @@ def warc_record(payload_first: Column) -> Column:
 def write_warc(records: DataFrame, path: str) -> None:
     """Write converted records as gzip WARC files.
 
-    Of the records with one payload digest, that with the largest page id (then record id) is the
-    response; the others are revisits that refer to it. A third of all records may share a payload:
+    Of the responses with one payload digest, that with the largest page id (then record id) stays one;
+    the others become revisits that refer to it. Other records are written whole. A third of all records may share a payload:
     the responses come from a pre-combined aggregate, and the join back is over two written tables,
     which adaptive execution splits.
     """
     records = stage(records, "warc-records", "zstd")
     best = F.max(F.struct("page_id", "record_id"))
-    responses = stage(records.groupBy("payload_digest").agg(best["record_id"].alias("response_id")), "warc-responses")
-    joined = records.join(responses, "payload_digest")
+    answers = records.where(F.col("kind") == RESPONSE)
+    responses = stage(answers.groupBy("payload_digest").agg(best["record_id"].alias("response_id")), "warc-responses")
+    others = records.where(F.col("kind") != RESPONSE).withColumn("response_id", F.col("record_id"))
+    joined = answers.join(responses, "payload_digest").unionByName(others)
     written = joined.select(warc_record(F.col("record_id") == F.col("response_id")).alias("value"))
     written.write.option("compression", "gzip").text(path)
 
@@ -220,7 +244,10 @@ def read_warc(spark, path: str) -> DataFrame:
                 for header, block in parse_warc(gzip.decompress(content.as_py())):
                     head, mark, payload = block.partition(b"\r\n\r\n")
                     page = re.search(rb"^X-Page-Id: (-?\d+)\r?$", head, re.MULTILINE)
-                    digest, response = header["WARC-Payload-Digest"], header["WARC-Type"] == "response"
+                    digest, response = header["WARC-Payload-Digest"], header["WARC-Type"] != "revisit"
+                    if header["WARC-Type"] != RESPONSE:
+                        mark = mark if not response else b""  # no head: the block is the payload
+                        page = page if mark else None
                     if response and digest != f"sha1:{sha1_base32(payload if mark else block)}":
                         raise ValueError(f"wrong payload digest in {header['WARC-Record-ID']}")
                     rows.append((

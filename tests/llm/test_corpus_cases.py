@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -144,6 +145,70 @@ def test_estimate_finds_labellers():
     assert ((posterior[place] > 0.5) == truth).mean() > 0.97
 
 
+def plain_votes(text):
+    """The votes on one text, worked out token by token."""
+    tokens = [t.encode() for t in "".join(c if ord(c) > 32 else " " for c in text or "").split(" ") if t]
+    upper = lambda b: 65 <= b <= 90
+    letter = lambda b: b >= 128 or 97 <= b <= 122
+    counts = dict.fromkeys((kind for _, kind, _, _ in quality.LABELLERS), 0)
+    for i, t in enumerate(tokens):
+        last, before, again = t[-1], t[max(len(t) - 2, 0)], i > 0 and tokens[i - 1] == t
+        plain_end = letter(last) or (last in b".,;:?" and (letter(before) or upper(before)))
+        counts["symbol"] += last in quality.SYMBOLS
+        counts["plain"] += plain_end or (len(t) == 1 and upper(t[0]))
+        counts["repeat"] += again
+        counts["near"] += t in tokens[max(0, i - 8) : i]
+        counts["capital"] += (upper(t[0]) or t[0] >= 128) and upper(t[len(t) // 2])
+        counts["exclamation"] += last == 33
+        counts["short"] += len(t) <= 3 and (letter(t[0]) or upper(t[0])) and not again
+        counts["stop"] += last == 46
+    code = 0
+    for _, kind, good, bad in quality.LABELLERS:
+        share = counts[kind] / max(len(tokens), 1)
+        fine, wrong = (share <= good, share >= bad) if good < bad else (share >= good, share <= bad)
+        vote = quality.GOOD if fine else quality.BAD if wrong else quality.NONE
+        code = code * 3 + (vote if len(tokens) >= quality.LEAST_TOKENS else quality.NONE)
+    return code
+
+
+def plain_posteriors(votes):
+    """Expectation maximisation over single documents, in plain loops."""
+    n = len(quality.LABELLERS)
+    each = [[v // 3 ** (n - 1 - i) % 3 for i in range(n)] for v in votes]
+    posterior = [0.1 if quality.BAD in e else 0.9 for e in each]
+    for _ in range(quality.EM_ROUNDS):
+        prior = min(max(sum(posterior) / len(votes), 1e-6), 1 - 1e-6)
+        rates = []
+        for i in range(n):
+            table = [[0.5, 0.5], [0.5, 0.5]]
+            for e, p in zip(each, posterior):
+                if e[i] != quality.NONE:
+                    table[0][e[i]] += 1 - p
+                    table[1][e[i]] += p
+            rates.append([[x / sum(row) for x in row] for row in table])
+        new = []
+        for e in each:
+            odds = math.log(prior / (1 - prior)) + sum(math.log(rates[i][1][v] / rates[i][0][v]) for i, v in enumerate(e) if v != quality.NONE)
+            new.append(1 / (1 + math.exp(-min(max(odds, -700), 700))))
+        moved, posterior = max(abs(a - b) for a, b in zip(new, posterior)), new
+        if moved < 1e-9:
+            break
+    return posterior
+
+
+def test_votes_and_posteriors_equal_plain_versions(spark, sf_dir, documents):
+    whole = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for frame in (whole, documents):
+        texts = [r.text for r in frame.select("text").collect()]
+        votes = [plain_votes(t) for t in texts]
+        counted = {r.votes: r.documents for r in quality.vote_counts(frame).collect()}
+        assert counted == {v: votes.count(v) for v in votes}
+        codes = np.array(sorted(counted))
+        posterior, _, _ = quality.estimate(codes, np.array([counted[c] for c in codes.tolist()]))
+        by_code = dict(zip(codes.tolist(), posterior))
+        assert np.allclose([by_code[v] for v in votes], plain_posteriors(votes), atol=1e-6)
+
+
 # -- 3
 
 
@@ -209,6 +274,31 @@ def test_warc_cases(spark):
     assert warc.archive_round_trip(pages.where("false")).count() == 0
 
 
+def test_types_of_converted_records(spark, tmp_path):
+    """What a crawl holds besides pages, through ARC and WARC."""
+    contents = [
+        ("http://a/", "text/html", b"HTTP/1.1 200 OK\r\nX-Page-Id: 4\r\n\r\npage"), ("https://a/", "text/html", b"HTTP/1.0 200 OK\r\nX-Page-Id: 9\r\n\r\npage"),
+        ("dns:a.example", "text/dns", b"20000101 a.example 60 IN A 1.2.3.4\r\n\r\nx"), ("http://b/img", "image/png", b"\x89PNG\r\n\r\nrest"),
+        ("ftp://c/file", "no-type", b"data"), ("metadata://a/", "-", b"via: x\r\n"), ("ftp://c/copy", "text/plain", b"page"),
+    ]
+    archive = warc.arc_start(1, "a.arc", "20000101000000")
+    for url, mime, content in contents:
+        archive += warc.arc_record(1, url, "20010203040506", mime, content, len(archive), "a.arc")
+    records = warc.convert_archives(spark.createDataFrame([("a.arc", archive), ("empty.arc", b"")], "path string, content binary"))
+    assert {(r.target_uri, r.kind, r.content_type) for r in records.collect()} == {
+        ("http://a/", "response", warc.HTTP_TYPE), ("https://a/", "response", warc.HTTP_TYPE), ("dns:a.example", "resource", "text/dns"),
+        ("http://b/img", "resource", "image/png"), ("ftp://c/file", "resource", "application/octet-stream"),
+        ("metadata://a/", "metadata", "application/warc-fields"), ("ftp://c/copy", "resource", "text/plain"),
+    }
+    warc.write_warc(records, str(tmp_path / "warc"))
+    read = sorted((r.record_type, r.page_id, r.payload_bytes) for r in warc.read_warc(spark, str(tmp_path / "warc")).select("record_type", "page_id", "payload_bytes").fillna(-1).collect())
+    sizes = {u: len(c) for u, _, c in contents}
+    assert read == sorted(
+        [("response", 9, 4), ("revisit", 4, -1), ("resource", -1, sizes["dns:a.example"]), ("resource", -1, sizes["http://b/img"]),
+         ("resource", -1, 4), ("resource", -1, 4), ("metadata", -1, sizes["metadata://a/"])]
+    )
+
+
 # -- 5
 
 
