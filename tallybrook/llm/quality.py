@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import batch_tokens, byte_batches, mix, stage
@@ -31,6 +31,8 @@ EM_ROUNDS = 200
 #: Hashed features, and the documents, about, on whose posterior labels the scorer is trained.
 BUCKETS = 1 << 16
 SAMPLE_DOCUMENTS = 4000
+#: Features of all of them together: of the sample, in order of text hash, what fits is learned from.
+SAMPLE_FEATURES = 3_000_000
 TRAIN_ROUNDS = 150
 REJECT_BELOW = 0.5
 #: A document of fewer tokens weighs as if it had so many: little text is little evidence.
@@ -137,7 +139,8 @@ def train(documents: DataFrame) -> dict:
     """The scorer: weights, intercept, and the labellers' estimated rates.
 
     The labellers' counts cover all documents. The scorer learns from a sample of about
-    ``SAMPLE_DOCUMENTS``, those whose text hash falls in a fixed part of the whole.
+    ``SAMPLE_DOCUMENTS``, those whose text hash falls in a fixed part of the whole, of which
+    ``SAMPLE_FEATURES`` bounds what the driver holds.
     """
     spark = documents.sparkSession
     patterns = stage(vote_counts(documents), "votes").orderBy("votes").collect()
@@ -153,24 +156,29 @@ def train(documents: DataFrame) -> dict:
             cuts = np.searchsorted(at, np.arange(len(count) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch["place"],
                     pa.array(of_pattern[_votes(shares, count)]),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(bucket.astype(np.int32))),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(weight.astype(np.float32))),
                 ],
-                names=["label", "buckets", "weights"],
+                names=["place", "label", "buckets", "weights"],
             )
 
     total = max(int(counts.sum()), 1)
     sample = documents.select("text").where(F.pmod(F.xxhash64("text"), F.lit(total)) < SAMPLE_DOCUMENTS)
     distinct = sample.dropDuplicates(["text"]).orderBy(F.xxhash64("text"), "text").limit(SAMPLE_DOCUMENTS)
-    rows = stage(distinct.mapInArrow(features, "label double, buckets array<int>, weights array<float>"), "quality-sample")
-    table = rows.toArrow()
+    placed = distinct.select("text", F.xxhash64("text").alias("place"))
+    rows = stage(placed.mapInArrow(features, "place long, label double, buckets array<int>, weights array<float>"), "quality-sample")
+    upto = F.sum(F.size("buckets")).over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    table = rows.withColumn("upto", upto).where(F.col("upto") <= SAMPLE_FEATURES).drop("place", "upto").toArrow()
     labels = table["label"].to_numpy()
     sizes = np.array([len(x) for x in table["buckets"]], np.int64)
     row = np.repeat(np.arange(len(labels), dtype=np.int32), sizes)
     bucket = table["buckets"].combine_chunks().flatten().to_numpy() if len(labels) else np.zeros(0, np.int32)
     weight = table["weights"].combine_chunks().flatten().to_numpy() if len(labels) else np.zeros(0)
     weights, intercept = _fit(labels, row, bucket, weight, prior)
+    del table, row, bucket, weight
+    pa.default_memory_pool().release_unused()
     return {"weights": weights, "intercept": intercept, "rates": rates, "prior": prior}
 
 
