@@ -185,16 +185,16 @@ def byte_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 <
             at = stop
 
 
-def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of the edges (a, b); label is the least node of the component.
 
     Each round lowers every node to the least label among itself and its neighbours, then follows
-    labels once more, so the rounds follow the logarithm of a chain's length. Rounds are written
-    tables: both join sides are plain scans, which adaptive execution splits where one node is hot.
+    labels once more, so the rounds follow the logarithm of a chain's length. Labels only fall, so it
+    ends. Rounds are written tables: both join sides are plain scans, which adaptive execution splits where one node is hot.
     """
     both = stage(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    for _ in range(most_rounds):
+    while True:
         seen = both.join(labels, both.b == labels.node).select(F.col("a").alias("node"), "label").unionByName(labels)
         lower = stage(seen.groupBy("node").agg(F.min("label").alias("label")), "labels")
         up = lower.select(F.col("node").alias("at"), F.col("label").alias("next"))
@@ -205,7 +205,6 @@ def components(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
         labels = jumped
         if not moved:
             return labels
-    raise RuntimeError("the components did not settle")
 
 
 def posterior_keep(threshold: float, tolerance: float, hashes: int) -> np.ndarray:

@@ -101,7 +101,8 @@ def spread(seeds: DataFrame, links: DataFrame) -> DataFrame:
     the mean distrust of what it links to, so it is not less where many others link to the same
     host. Weights are not scaled to a sum of one, so a score reads the same in a graph of any size.
     Links of a host to itself say nothing and are left out. Ends when no score moves by a unit of
-    the last digit, or after ``ROUNDS`` rounds.
+    the last digit, or after ``ROUNDS`` rounds, when what is still to come is at most ``FOLLOW`` to
+    that power (0.006) of what the seeds give.
     """
     links = stage(links.where("source <> target").groupBy("source", "target").agg(F.sum("links").alias("links")), "host-links")
     out = stage(links.groupBy("source").agg(F.sum("links").alias("all_links")), "host-out")
