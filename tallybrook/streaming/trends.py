@@ -37,12 +37,18 @@ def daily_counts(rows: DataFrame, late: str = "7 days") -> DataFrame:
     )
 
 
+def gathered(batch: DataFrame) -> DataFrame:
+    """The counts that a batch changed, in one partition. A shuffle of these few rows, not a coalesce: that would
+    leave the state of all partitions to a single task."""
+    return batch.repartition(1)
+
+
 def count_by_day(rows: DataFrame, table: str, checkpoint: str, late: str = "7 days", trigger: dict | None = None) -> StreamingQuery:
     """Start counting; by default everything available now, then stop."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         with adaptive_execution(batch.sparkSession):
-            batch.coalesce(1).write.mode("overwrite").parquet(batch_path(table, stream_run(batch), batch_id))
+            gathered(batch).write.mode("overwrite").parquet(batch_path(table, stream_run(batch), batch_id))
 
     return (
         daily_counts(rows, late)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallybrook.operators import replay
 from tallybrook.schemas import DEAD_LETTER_DDL
 from tallybrook.sources import commits, footers, lake
+from tallybrook.streaming import trends
 from tallybrook.streaming.counters import DROPPED, BatchCounters, read_counters, total_counts
 from tallybrook.streaming.ingest import ANY_AGE, ingest, read_messages
 from tallybrook.streaming.trends import count_by_day, late_rows, read_daily_counts
@@ -152,3 +153,23 @@ def test_drift_of_files_and_of_some_files(spark, tmp_path):
     ]
     sets = footers.schemas_by_file_set(found, F.lit("all")).where("column = 'link'").collect()
     assert [(r.type, r.n_files, r.n_rows) for r in sets] == [("string", 2, 4)]
+
+
+def test_state_of_a_batch_stays_spread(spark, tmp_path):
+    """The one file of a batch is gathered from the tasks that hold the state, not by one task for all of them."""
+    rows = str(tmp_path / "rows")
+    spark.createDataFrame([(dt.datetime(2024, 1, 1 + i), "NEUTRAL") for i in range(20)], "created_ts timestamp_ntz, sentiment string").write.parquet(rows)
+    stream = spark.readStream.schema("created_ts timestamp_ntz, sentiment string").option("maxFileAge", ANY_AGE).parquet(rows)
+    seen = []
+
+    def look(batch, _):
+        one = trends.gathered(batch)
+        seen.append((batch.rdd.getNumPartitions(), one._jdf.queryExecution().executedPlan().toString(), len(one.collect())))
+
+    query = trends.daily_counts(stream).writeStream.outputMode("update").foreachBatch(look)
+    query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    (partitions, plan, n_days), *_ = seen
+    assert (partitions, n_days) == (4, 20) and "SinglePartition" in plan and "Coalesce" not in plan
+    count_by_day(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert len([*(tmp_path / "table").rglob("batch_id=0/*.parquet")]) == 1
+    assert read_daily_counts(spark, str(tmp_path / "table")).count() == 20
