@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from tallybrook.functions.metrics import engagement, pct_change, zero_if_null
 from tallybrook.functions.text import clean_text, has_text
 from tallybrook.functions.time import epoch_date, epoch_hour, epoch_ts, hours_between
-from tallybrook.operators.latest import latest_by_key
+from tallybrook.operators.latest import latest_by_key, without_outdated
 from tallybrook.operators.trends import daily, rolling_sum
 from tallybrook.sources.versions import new_version_path, publish, read_version
 
@@ -37,6 +37,12 @@ def latest_versions(df: DataFrame) -> DataFrame:
     return latest_by_key(df, ["question_id"], version_order())
 
 
+def without_old_versions(df: DataFrame) -> DataFrame:
+    """The rows without nearly all older versions; null ids go, as in silver. For plans that need the titles of a
+    table whose questions have several versions: ``silver(without_old_versions(raw))`` is ``silver(raw)``."""
+    return without_outdated(df.filter("question_id is not null"), ["question_id"], version_order(), ["link"])
+
+
 def usable_latest(df: DataFrame) -> DataFrame:
     """Latest versions that have an id and a non-blank title.
 

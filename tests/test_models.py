@@ -7,10 +7,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallybrook.operators.latest import latest_by_key
+from tallybrook.operators.latest import latest_by_key, without_outdated
+from tallybrook.operators.membership import with_membership
 from tallybrook.operators.paging import paged_top_n
 from tallybrook.operators.trends import change_from_previous, previous, rank_within, rolling_sum
 from tallybrook.plans import models
+from tallybrook.registry import QUERIES
 from tallybrook.registry.derived import questions_raw
 from tallybrook.schemas import RECORD_COLUMNS, RECORD_DDL
 from tallybrook.session import run_dir
@@ -190,3 +192,31 @@ def test_pages_come_in_order(spark, monkeypatch):
             found = paged_top_n(df, "t", page_size=size, total=size, start_page=start, tiebreak=("id",))
             assert [tuple(r) for r in found.collect()] == ordered[(start - 1) * size : start * size]
     assert [tuple(r) for r in paged_top_n(df, "t", max_pages=None, tiebreak=("id",)).collect()] == ordered
+
+
+def test_membership_finds_every_key(spark):
+    keys = spark.range(0, 60_000, 3).select((F.col("id") % 7).alias("a"), F.when(F.col("id") % 5 != 0, F.col("id").cast("string")).alias("b"))
+    rows = spark.range(60_000).select("id", (F.col("id") % 7).alias("a"), F.when(F.col("id") % 5 != 0, F.col("id").cast("string")).alias("b"))
+    found = with_membership(rows, keys, "held").select("id", "a", "b", "held").collect()
+    held = {(r.a, r.b) for r in keys.collect()}
+    assert len(found) == 60_000 and all(r.held for r in found if (r.a, r.b) in held)
+    assert sum(r.held for r in found if (r.a, r.b) not in held) < 100  # about 4 are expected
+
+
+def test_old_versions_go_before_titles_move(spark, sf_dir):
+    df = questions(
+        spark,
+        *[{"question_id": i % 500, "title": f"t{i}", "link": f"l{i}", "last_activity_date": i * 7919 % 1500} for i in range(1500)],
+        *[{"question_id": 9000, "title": t, "link": "same", "last_activity_date": 5} for t in ("a", "a", "a")],
+        {"question_id": 9001, "link": None, "creation_date": None}, {"question_id": 9001, "link": "x", "creation_date": None},
+        {"question_id": 9002, "title": " ", "link": "new", "last_activity_date": 9}, {"question_id": 9002, "link": "old", "last_activity_date": 8},
+        {"question_id": None, "link": "none"},
+    ).repartition(3)
+    kept = models.without_old_versions(df)
+    assert 500 + 3 + 2 <= kept.count() <= 510
+    for whole, thin in ((models.silver(df), models.silver(kept)), (models.latest_versions(df).filter("question_id is not null"), models.latest_versions(kept))):
+        assert sorted(map(str, whole.collect())) == sorted(map(str, thin.collect()))
+    assert without_outdated(df, ["question_id"], models.version_order(), ["link"]).filter("question_id is null").count() == 1
+    for name in ("silver_dedup", "silver_filter", "silver"):
+        text = plan(QUERIES[name](spark, sf_dir))
+        assert "bitmap_construct_agg" in text and "BroadcastHashJoin" in text
