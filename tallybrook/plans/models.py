@@ -122,6 +122,7 @@ def write_clustered(df: DataFrame, path: str, day: str, cluster: Sequence[str],
         df.hint("rebalance", day)
         .sortWithinPartitions(day, *cluster)
         .write.mode("errorifexists")
+        .option("compression", "zstd")
         .partitionBy(day)
         .parquet(version)
     )

@@ -220,3 +220,8 @@ def test_old_versions_go_before_titles_move(spark, sf_dir):
     for name in ("silver_dedup", "silver_filter", "silver"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "bitmap_construct_agg" in text and "BroadcastHashJoin" in text
+
+
+def test_stored_models_are_zstd(spark, tmp_path):
+    models.write_silver(models.silver(questions(spark, {})), str(tmp_path / "silver"))
+    assert [*(tmp_path / "silver").rglob("*.zstd.parquet")] and not [*(tmp_path / "silver").rglob("*.snappy.parquet")]
