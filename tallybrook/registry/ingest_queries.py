@@ -255,7 +255,6 @@ def delivery_outcome(spark, sf_dir):
     sql.on_messages(f"SELECT DISTINCT message_id, {sql.RECORD} FROM identified WHERE outcome = 'stored'"),
 )
 def message_dedup(spark, sf_dir):
-    decoded = env.decode_messages(envelopes(spark, sf_dir)).filter(F.col("outcome") == env.STORED)
-    return env.dedup_messages(decoded).select("message_id", *RECORD_COLUMNS)
+    return env.stored_once(envelopes(spark, sf_dir)).select("message_id", *RECORD_COLUMNS)
 
 

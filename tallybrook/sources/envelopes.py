@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallybrook import fixed_values as fv
 from tallybrook.operators.contract import check_contract, is_valid, issue_list
 from tallybrook.operators.latest import latest_by_key
+from tallybrook.operators.membership import with_membership
 from tallybrook.operators.once import with_columns_once, with_struct_columns
 from tallybrook.schemas import CONTRACT, ENVELOPE_DDL, RECORD_COLUMNS
 
@@ -97,8 +98,15 @@ def decode_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
 
     The same expressions serve batch and streaming frames.
     """
-    parsed = with_message_id(parse_envelope(df, value_col), value_col).withColumnRenamed(value_col, "original")
-    return classify_delivery(check_contract(parse_records(parsed)))
+    return _decode_opened(_opened(df, value_col))
+
+
+def _opened(df: DataFrame, value_col: str = "value") -> DataFrame:
+    return with_message_id(parse_envelope(df, value_col), value_col).withColumnRenamed(value_col, "original")
+
+
+def _decode_opened(opened: DataFrame) -> DataFrame:
+    return classify_delivery(check_contract(parse_records(opened)))
 
 
 def outcome_counts(decoded: DataFrame) -> DataFrame:
@@ -110,3 +118,17 @@ def dedup_messages(df: DataFrame, tiebreak: tuple[str, ...] = ("payload",)) -> D
     """One row per message id. Redeliveries carry the same body; should bodies differ, the greatest
     in ``tiebreak`` order is kept, so a retried task makes the same choice."""
     return latest_by_key(df, ["message_id"], [F.col(c).desc() for c in tiebreak])
+
+
+def stored_once(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """What ``dedup_messages`` leaves of the stored messages of a batch frame, without a shuffle of all of them.
+
+    Ids that came more than once are broadcast as a bitmap; messages of other ids stay in their tasks. The few that
+    the bitmap holds by chance are deduplicated like redelivered ones, which makes no difference to them. The
+    envelopes are read once for the ids and once for each side, every record is parsed once.
+    """
+    opened = _opened(df, value_col)
+    repeated = opened.groupBy("message_id").agg(F.count("*").alias("n")).filter("n > 1").select("message_id")
+    marked = with_membership(opened, repeated, "_repeated")
+    stored = _decode_opened(marked).filter(F.col("outcome") == STORED)
+    return stored.filter(~F.col("_repeated")).unionByName(dedup_messages(stored.filter("_repeated"))).drop("_repeated")

@@ -6,6 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from tallybrook.operators import contract as c
+from tallybrook.registry import QUERIES
 from tallybrook.schemas import RECORD_COLUMNS, RECORD_DDL
 from tallybrook.sources import envelopes as env
 from tallybrook.sources.items import item_tags, normalize_items, parse_items, read_item_pages
@@ -169,3 +170,18 @@ def test_parsing_is_not_repeated_by_a_filter(spark):
     text = stored._jdf.queryExecution().executedPlan().toString()
     assert text.count("from_json(StructField(question_id") == 1
     assert "Python" not in text
+
+
+def test_only_repeated_messages_are_shuffled(spark, sf_dir):
+    dead, newer = {**RECORD, "link": None}, {**RECORD, "title": "z"}
+    values = [envelope(RECORD, f"m{i}") for i in range(300)] + [envelope(RECORD, "m5")] * 4 + [envelope(newer, "m6"), envelope(dead, "m7"), envelope(dead, "d")]
+    values += [envelope(RECORD, None)] * 3 + ["junk", "junk", None, None, '{"message": {"data": "*bad", "messageId": "m8"}}']
+    frame = spark.createDataFrame([(v,) for v in values], "value string").repartition(5)
+    whole = env.dedup_messages(env.decode_messages(frame).filter(F.col("outcome") == env.STORED))
+    once = env.stored_once(frame)
+    assert once.columns == whole.columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, whole.collect())) and once.count() == 301
+    assert env.stored_once(frame.limit(0)).count() == 0
+    text = QUERIES["message_dedup"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    singles, rest = text.split("Window [", 1)[0], text.split("Window [", 1)[1]
+    assert "Union" in singles and "NOT" in singles and "bitmap_construct_agg" in singles and "Generate" in rest
