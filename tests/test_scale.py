@@ -8,7 +8,7 @@ import os
 from pyspark.sql import functions as F
 
 from tallybrook.operators import compact, load
-from tallybrook.registry import derived
+from tallybrook.registry import QUERIES, derived, lake_queries
 from tallybrook.schemas import RECORD_COLUMNS, RECORD_DDL
 from tallybrook.sources import lake
 from tallybrook.streaming.ingest import prepared_messages, read_messages
@@ -82,3 +82,11 @@ def test_compaction_finds_slots_without_a_shuffle_of_records(spark, tmp_path, mo
     assert compact.compact(spark, root, "year=9999") == 2
     assert hinted == [["hour_folder", "first", "slots"]]
     assert compact.read_lake(spark, root).count() == 10
+
+
+def test_files_of_large_lakes_are_zstd(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake_queries, "run_dir", lambda spark, name: str(tmp_path / name))
+    for name, folder, n in (("write_processed", "lake", 1000), ("lake_two_sources", "sources", 1000), ("schema_drift_files", "drift", 4)):
+        assert QUERIES[name](spark, sf_dir).count() == n
+        files = [f.name for f in (tmp_path / folder).rglob("*.parquet") if f.is_file()]
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
