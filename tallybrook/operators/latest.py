@@ -31,3 +31,14 @@ def without_outdated(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     """
     picked = latest_by_key(df, keys, order).select(*keys, *version)
     return with_membership(df, picked, "_is_latest").filter("_is_latest").drop("_is_latest")
+
+
+def latest_of_wide_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], version: Sequence[str]) -> DataFrame:
+    """The rows of ``latest_by_key``, for rows too wide to be shuffled: what ``without_outdated`` leaves is the only
+    row of its key nearly always, and then stays where it is. Keys that have more rows left are broadcast as a
+    bitmap, and their rows are ranked as a whole."""
+    kept = without_outdated(df, keys, order, version)
+    several = kept.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys)
+    marked = with_membership(kept, several, "_several")
+    ranked = latest_by_key(marked.filter("_several"), keys, order)
+    return marked.filter(~F.col("_several")).unionByName(ranked).drop("_several")

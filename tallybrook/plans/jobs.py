@@ -107,7 +107,7 @@ def build_models(
 ) -> None:
     """Rebuild silver from the loaded table, then gold from the written silver. Each is replaced when
     its rebuild is complete; the version before stays for readers that are still at it."""
-    silver = models.silver(models.without_old_versions(models.bronze(read_table(spark, table), view)))
+    silver = models.silver(models.bronze(read_table(spark, table), view), wide=True)
     models.write_silver(silver, silver_path, keep=1)
     written = models.read_model(spark, silver_path, silver.schema)
     models.write_gold(models.gold(written), gold_path, keep=1)

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from tallybrook.functions.metrics import engagement, pct_change, zero_if_null
 from tallybrook.functions.text import clean_text, has_text
 from tallybrook.functions.time import epoch_date, epoch_hour, epoch_ts, hours_between
-from tallybrook.operators.latest import latest_by_key, without_outdated
+from tallybrook.operators.latest import latest_by_key, latest_of_wide_rows
 from tallybrook.operators.trends import daily, rolling_sum
 from tallybrook.sources.versions import new_version_path, publish, read_version
 
@@ -32,18 +32,15 @@ def version_order() -> list[Column]:
     ]
 
 
-def latest_versions(df: DataFrame) -> DataFrame:
-    """The latest version of every question, null id included."""
+def latest_versions(df: DataFrame, wide: bool = False) -> DataFrame:
+    """The latest version of every question, null id included. ``wide`` is for plans that need the titles: it picks
+    on narrow rows first, so that titles are not shuffled, and works ``df`` out more than once for it."""
+    if wide:
+        return latest_of_wide_rows(df, ["question_id"], version_order(), ["link"])
     return latest_by_key(df, ["question_id"], version_order())
 
 
-def without_old_versions(df: DataFrame) -> DataFrame:
-    """The rows without nearly all older versions; null ids go, as in silver. For plans that need the titles of a
-    table whose questions have several versions: ``silver(without_old_versions(raw))`` is ``silver(raw)``."""
-    return without_outdated(df.filter("question_id is not null"), ["question_id"], version_order(), ["link"])
-
-
-def usable_latest(df: DataFrame) -> DataFrame:
+def usable_latest(df: DataFrame, wide: bool = False) -> DataFrame:
     """Latest versions that have an id and a non-blank title.
 
     The title test applies to the latest version: a question whose latest title is blank disappears,
@@ -51,7 +48,7 @@ def usable_latest(df: DataFrame) -> DataFrame:
     need the title sends one flag instead of the text. The null-id filter does move below the
     ranking, where it also takes the null group out of the shuffle.
     """
-    latest = latest_versions(df.withColumn("_has_title", has_text(F.col("title"))))
+    latest = latest_versions(df.withColumn("_has_title", has_text(F.col("title"))), wide)
     return latest.filter(F.col("question_id").isNotNull() & F.col("_has_title")).drop("_has_title")
 
 
@@ -82,9 +79,9 @@ def silver_columns() -> list[Column]:
     ]
 
 
-def silver(df: DataFrame) -> DataFrame:
-    """Latest usable version of every question, standardised."""
-    return usable_latest(df).select(*silver_columns())
+def silver(df: DataFrame, wide: bool = False) -> DataFrame:
+    """Latest usable version of every question, standardised; ``wide`` as in ``latest_versions``."""
+    return usable_latest(df, wide).select(*silver_columns())
 
 
 def gold(silver_df: DataFrame) -> DataFrame:

@@ -27,11 +27,6 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.silver(questions_raw(spark, sf_dir))
 
 
-def _versions_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw rows for plans that shuffle titles, without versions that are surely not the latest."""
-    return models.without_old_versions(questions_raw(spark, sf_dir))
-
-
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily(_silver(spark, sf_dir))
 
@@ -44,12 +39,12 @@ def bronze_scan(spark, sf_dir):
 
 @query("silver_dedup", sql.on_dedup(f"SELECT {sql.RECORD} FROM ranked WHERE rn = 1 AND question_id IS NOT NULL"))
 def silver_dedup(spark, sf_dir):
-    return models.latest_versions(_versions_kept(spark, sf_dir)).filter("question_id is not null")
+    return models.latest_versions(questions_raw(spark, sf_dir), wide=True).filter("question_id is not null")
 
 
 @query("silver_filter", sql.on_usable(f"SELECT {sql.RECORD} FROM usable"))
 def silver_filter(spark, sf_dir):
-    return models.usable_latest(_versions_kept(spark, sf_dir))
+    return models.usable_latest(questions_raw(spark, sf_dir), wide=True)
 
 
 @query(
@@ -146,12 +141,12 @@ def hours_to_close(spark, sf_dir):
 
 @query("silver", sql.on_silver("SELECT * FROM silver"))
 def silver(spark, sf_dir):
-    return models.silver(_versions_kept(spark, sf_dir))
+    return models.silver(questions_raw(spark, sf_dir), wide=True)
 
 
 @query("write_silver", sql.on_silver("SELECT * FROM silver"))
 def write_silver(spark, sf_dir):
-    path, frame = run_dir(spark, "silver"), models.silver(_versions_kept(spark, sf_dir))
+    path, frame = run_dir(spark, "silver"), models.silver(questions_raw(spark, sf_dir), wide=True)
     models.write_silver(frame, path)
     return models.read_model(spark, path, frame.schema)
 
