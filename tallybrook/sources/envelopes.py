@@ -20,7 +20,10 @@ OUTCOMES = (ACK_NO_MESSAGE, ACK_NO_DATA, FAILED, DEAD, STORED)
 def parse_envelope(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Add ``has_message``, ``raw_message_id``, ``has_data``, ``payload`` (null if not base64 of UTF-8)
     and ``payload_error``, which says why it is null."""
-    opened = with_struct_columns(df, F.from_json(value_col, ENVELOPE_DDL))
+    return _parse_payload(with_struct_columns(df, F.from_json(value_col, ENVELOPE_DDL)))
+
+
+def _parse_payload(opened: DataFrame) -> DataFrame:
     data = F.col("message.data")
     opened = with_columns_once(opened, {"_bytes": F.try_to_binary(data, F.lit("base64"))})
     sound = F.is_valid_utf8(F.col("_bytes").cast("string"))
@@ -132,3 +135,45 @@ def stored_once(df: DataFrame, value_col: str = "value") -> DataFrame:
     marked = with_membership(opened, repeated, "_repeated")
     stored = _decode_opened(marked).filter(F.col("outcome") == STORED)
     return stored.filter(~F.col("_repeated")).unionByName(dedup_messages(stored.filter("_repeated"))).drop("_repeated")
+
+
+def _keyed(lines: DataFrame, value_col: str) -> DataFrame:
+    """``message_id`` of the opened envelopes, whose payloads are left alone."""
+    opened = with_struct_columns(lines, F.from_json(value_col, ENVELOPE_DDL))
+    return with_message_id(opened.withColumn("raw_message_id", F.col("message.messageId")), value_col).drop("raw_message_id")
+
+
+def doubtful_ids(lines: DataFrame, ids: DataFrame, value_col: str = "value") -> DataFrame:
+    """``message_id`` of the lines that may not be taken as they are: those that came more than once, and those that are
+    not, or not once, among ``ids``. Only ids are shuffled."""
+    came = _keyed(lines, value_col).select("message_id", F.lit(1).alias("came"), F.lit(0).alias("known"))
+    known = ids.select("message_id", F.lit(0).alias("came"), F.lit(1).alias("known"))
+    counts = came.unionByName(known).groupBy("message_id").agg(F.sum("came").alias("came"), F.sum("known").alias("known"))
+    return counts.filter("came <> 1 OR known <> 1").select("message_id")
+
+
+def _once_each(keyed: DataFrame, ids: DataFrame, columns: list[str], value_col: str) -> DataFrame:
+    """The decoded messages of ``ids`` among others; of several that are the same one, that with the greatest digest."""
+    keys = ["outcome", "message_id"]
+    decoded = _decode_opened(_parse_payload(keyed).withColumnRenamed(value_col, "original"))
+    rows = decoded.select(*dict.fromkeys([*keys, *columns]), F.xxhash64("original").alias("_body")).join(ids.select(*keys), keys, "left_semi")
+    return latest_by_key(rows, keys, [F.col("_body").desc()]).select(*columns)
+
+
+def messages_of(lines: DataFrame, ids: DataFrame, doubtful: DataFrame, outcome: str, columns: list[str], value_col: str = "value") -> DataFrame:
+    """One decoded message of this outcome for each of its ``ids`` (``outcome, message_id``), which all stand in ``lines``.
+
+    ``doubtful`` ids, as ``doubtful_ids`` tells them, are broadcast as a bitmap; messages of other ids stay in their
+    tasks, as there is one of each and it is among ``ids``. The others, and the few that the bitmap holds by chance, are
+    compared with ``ids``. A repeated batch makes the same choice. Envelopes are opened on both sides, payloads once.
+    """
+    marked = with_membership(_keyed(lines, value_col), doubtful, "_doubtful")
+    sure = _decode_opened(_parse_payload(marked.filter(~F.col("_doubtful"))).withColumnRenamed(value_col, "original"))
+    once = _once_each(marked.filter("_doubtful"), ids.filter(F.col("outcome") == outcome), columns, value_col)
+    return sure.filter(F.col("outcome") == outcome).select(*columns).unionByName(once)
+
+
+def few_messages_of(lines: DataFrame, ids: DataFrame, columns: list[str], value_col: str = "value") -> DataFrame:
+    """As ``messages_of``, where ``ids`` are few of those in ``lines``: only their messages are decoded, and shuffled."""
+    marked = with_membership(_keyed(lines, value_col), ids.select("message_id"), "_wanted")
+    return _once_each(marked.filter("_wanted"), ids, columns, value_col)
