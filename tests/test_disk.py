@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallybrook.operators import compact, load
 from tallybrook.session import shuffles_dropped
 from tallybrook.sources import envelopes as env
 from tallybrook.sources import lake
@@ -84,3 +85,35 @@ def test_a_write_leaves_no_shuffle(spark, tmp_path):
     assert spark.conf.get(setting) == "false" and shuffle_files(spark) - before
     with shuffles_dropped(spark):
         assert spark.conf.get(setting) == "true"
+
+
+def test_a_compaction_goes_by_ranges_of_hours(spark, tmp_path, monkeypatch):
+    root, bare = str(tmp_path / "processed"), []
+    hours = [{"question_id": n, "creation_date": 3600 * (n % 7)} for n in range(40)]
+    rows = lake.with_hour_partitions(lake.with_event_time(records(spark, *hours)))
+    for batch_id in range(2):
+        lake.write_processed(lake.spread_by_hour(rows), root, "r", batch_id)
+    spans = compact._spans
+    monkeypatch.setattr(compact, "SLOTS_AT_ONCE", 2)
+    monkeypatch.setattr(compact, "_spans", lambda *frames: bare.extend(spans(*frames)) or bare)
+    assert compact.compact(spark, root, "year=9999", target_bytes=6000) == 2
+    assert len(bare) > 2 and all(a.end < b.start for a, b in zip(bare, bare[1:], strict=False))
+    assert len(compact.drop_replaced(spark, root)) == 2
+    back = compact.read_lake(spark, root)
+    assert sorted((r.question_id, r.batch_id) for r in back.collect()) == sorted((n, b) for n in range(40) for b in range(2))
+    assert [*(tmp_path / "processed" / "_compacted").rglob("*.zstd.parquet")]
+
+
+def test_a_load_leaves_no_shuffle(spark, tmp_path):
+    before = shuffle_files(spark)
+    load.replace_batch(spark.range(9).repartition(2, "id"), str(tmp_path / "table"), "r", 0)
+    assert shuffle_files(spark) <= before and spark.read.parquet(str(tmp_path / "table")).count() == 9
+
+
+def test_batches_without_rows_are_compacted(spark, tmp_path):
+    root = str(tmp_path / "processed")
+    for batch_id in range(2):
+        rows = lake.with_hour_partitions(lake.with_event_time(records(spark, {"question_id": 1}).where("false")))
+        lake.write_processed(rows, root, "r", batch_id)
+    assert compact.compact(spark, root, "year=9999") == 2
+    assert len(compact.drop_replaced(spark, root)) == 2 and compact.read_lake(spark, root).count() == 0
